@@ -53,29 +53,6 @@ def active_users_explode(user_dims: DataFrame, dims=None) -> DataFrame:
 
 
 # ----------------------------------------------------------- interval form
-def interval_deltas(active: DataFrame, entity: list[str], group: list[str],
-                    windows: dict[str, int], date_col: str = "date") -> DataFrame:
-    """+1/-1 events of "entity active within the last N days".
-
-    ``active`` holds distinct (entity..., group..., date) rows. For each
-    window name -> N the result has columns ``group..., day, <name>`` where
-    summing ``<name>`` over days <= X per group gives the number of entities
-    with an active day in [X-N+1, X].
-    """
-    keys = list(dict.fromkeys(entity + group))
-    w = Window.partitionBy(*keys).orderBy(date_col)
-    nxt = F.lead(date_col).over(w)
-    d = F.col(date_col)
-    events = [F.struct(d.alias("day"), *[F.lit(1).alias(n) for n in windows])]
-    for name, n in windows.items():
-        end = F.date_add(d, n)
-        stop = F.when(nxt.isNotNull() & (nxt < end), nxt).otherwise(end)
-        events.append(F.struct(stop.alias("day"),
-                               *[F.lit(-1 if m == name else 0).alias(m) for m in windows]))
-    return (active.select(*group, F.explode(F.array(*events)).alias("_e"))
-            .select(*group, "_e.*"))
-
-
 def _expand_spans(totals: DataFrame, group: list[str], running: list[str],
                   point: list[str], keep: Column, carry=()) -> DataFrame:
     """Running sums per group over the delta days, then one output row per
@@ -101,31 +78,50 @@ def _expand_spans(totals: DataFrame, group: list[str], running: list[str],
 def active_users_interval(user_dims: DataFrame, dims=None) -> DataFrame:
     """A2, scale form (same rows as :func:`active_users_explode`).
 
-    Series: dau/wau/mau over distinct (uid, dims, date) with N = 1/8/31;
-    ``_exists`` over distinct (dims, date), null uid included, N = 31 (the
-    output has a row for each dims tuple up to 30 days after its last
-    activity, zeros included); ``sessions`` = distinct ``_id`` on the day.
-    One union, one aggregation, one window.
+    Three series come out of one read of ``user_dims``: each row is tagged
+    three ways — ``u`` (its uid; null uids skipped), ``e`` (the dims tuple
+    exists that day) and ``s`` (its session id) — and de-duplicated with a
+    map-side-combined aggregation, so a hot dims tuple or user is reduced to
+    one row per day before any shuffle. One ``lead`` window per (tag, key,
+    dims) turns each active day into +1/-1 events:
+
+    * ``u``: dau/wau/mau with N = 1/8/31 over distinct (uid, dims, date);
+    * ``e``: ``_exists`` with N = 31 (the output has a row for each dims
+      tuple up to 30 days after its last activity, zeros included);
+    * ``s``: ``sessions`` +1 on the day (distinct session ids).
+
+    Then one aggregation per (dims, day) and one running-sum window.
     """
     d = _dims(dims)
     metrics = {"dau": DAU_DAYS, "wau": WAU_DAYS, "mau": MAU_DAYS}
-    zero = F.lit(0).cast("bigint")
-    users = (user_dims.filter(F.col("uid").isNotNull())
-             .select("uid", *d, "date").distinct())
-    user_deltas = interval_deltas(users, ["uid"], d, metrics).select(
-        *d, "day", *[F.col(m).cast("bigint").alias(m) for m in metrics],
-        zero.alias("_exists"), zero.alias("sessions"))
-    present = user_dims.select(*d, "date").distinct()
-    exist_deltas = interval_deltas(present, [], d, {"_exists": MAU_DAYS}).select(
-        *d, "day", *[zero.alias(m) for m in metrics],
-        F.col("_exists").cast("bigint").alias("_exists"), zero.alias("sessions"))
-    sessions = (user_dims.groupBy(*d, F.col("date").alias("day"))
-                .agg(F.count_distinct("_id").alias("sessions"))
-                .select(*d, "day", *[zero.alias(m) for m in metrics],
-                        zero.alias("_exists"), "sessions"))
-    totals = (user_deltas.unionByName(exist_deltas).unionByName(sessions)
-              .groupBy(*d, "day")
-              .agg(*[F.sum(c).alias(c) for c in ["sessions", *metrics, "_exists"]]))
+    names = [*metrics, "_exists", "sessions"]
+    tags = F.array(
+        F.struct(F.lit("u").alias("tag"), F.col("uid").cast("string").alias("key")),
+        F.struct(F.lit("e").alias("tag"), F.lit(None).cast("string").alias("key")),
+        F.struct(F.lit("s").alias("tag"), F.col("_id").cast("string").alias("key")))
+    tagged = (user_dims.select(*d, "date", F.explode(tags).alias("_t"))
+              .select(*d, "date", "_t.tag", "_t.key")
+              .filter((F.col("tag") != "u") | F.col("key").isNotNull())
+              .distinct())
+    w = Window.partitionBy("tag", "key", *d).orderBy("date")
+    nxt = tagged.select(*d, "date", "tag", F.lead("date").over(w).alias("_next"))
+    day, tag, nx = F.col("date"), F.col("tag"), F.col("_next")
+
+    def event(at, **vals):
+        return F.struct(at.alias("day"), *[F.lit(vals.get(n, 0)).cast("bigint").alias(n) for n in names])
+
+    def stop(n):
+        end = F.date_add(day, n)
+        return F.when(nx.isNotNull() & (nx < end), nx).otherwise(end)
+
+    user_events = F.array(event(day, dau=1, wau=1, mau=1),
+                          *[event(stop(n), **{m: -1}) for m, n in metrics.items()])
+    exist_events = F.array(event(day, _exists=1), event(stop(MAU_DAYS), _exists=-1))
+    session_events = F.array(event(day, sessions=1))
+    events = (F.when(tag == "u", user_events).when(tag == "e", exist_events)
+              .otherwise(session_events))
+    totals = (nxt.select(*d, F.explode(events).alias("_e")).select(*d, "_e.*")
+              .groupBy(*d, "day").agg(*[F.sum(c).alias(c) for c in names]))
     out = _expand_spans(totals, d, [*metrics, "_exists"], ["sessions"], F.col("_exists") > 0)
     return out.select("date", *d, "sessions", *metrics)
 
@@ -159,14 +155,20 @@ def trailing_active(active: DataFrame, entity: str, x: int,
     """B1: per calendar day from the first to the last active day, the
     number of distinct entities active in the trailing ``x`` days.
 
-    The per-day series is aggregated before the (global) running sum, so
-    the single window partition holds one row per calendar day.
+    Each distinct (entity, day) gives +1 at the day (flagged as an active
+    day) and -1 when its interval ends; the per-day sums are aggregated
+    before the (global) running sum, so the single window partition holds
+    one row per calendar day.
     """
     pairs = active.select(entity, date_col).distinct()
-    deltas = interval_deltas(pairs, [entity], [], {"xau": x}, date_col)
-    marks = pairs.select(F.col(date_col).alias("day"), F.lit(0).alias("xau"))
-    totals = (deltas.withColumn("_active", F.lit(0))
-              .unionByName(marks.withColumn("_active", F.lit(1)))
+    w = Window.partitionBy(entity).orderBy(date_col)
+    nxt = pairs.select(date_col, F.lead(date_col).over(w).alias("_next"))
+    d, nx = F.col(date_col), F.col("_next")
+    end = F.date_add(d, x)
+    stop = F.when(nx.isNotNull() & (nx < end), nx).otherwise(end)
+    events = F.array(F.struct(d.alias("day"), F.lit(1).alias("xau"), F.lit(1).alias("_active")),
+                     F.struct(stop.alias("day"), F.lit(-1).alias("xau"), F.lit(0).alias("_active")))
+    totals = (nxt.select(F.explode(events).alias("_e")).select("_e.*")
               .groupBy("day").agg(F.sum("xau").alias("xau"), F.max("_active").alias("_active")))
     last = F.max(F.when(F.col("_active") > 0, F.col("day"))).over(Window.partitionBy())
     totals = totals.withColumn("_last", last).drop("_active")

@@ -50,6 +50,7 @@ def build_session(master: str | None = None, app: str = "daypulse",
         builder = builder.master(master)
     settings = dict(BASE_CONF)
     settings["spark.ui.enabled"] = "false"
+    settings["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
