@@ -7,29 +7,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daypulse.functions.urls import clean_path, path_param, url_steps
+from daypulse.functions.urls import path_param, with_url_fields
 from daypulse.operators.identity import funnel_identity
 
 REPORT_PARAM = "homeWorkReport"
 STEP_SEPARATOR = ">"
 
 
+def _user_urls(client_rows: DataFrame) -> DataFrame:
+    """Rows per distinct (user, raw url): the URL parse then runs once per
+    pair instead of once per event (partial aggregation before the shuffle)."""
+    return (client_rows.groupBy(funnel_identity().alias("uid"), F.col("url"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+
+
 def open_distribution(client_rows: DataFrame, param: str = REPORT_PARAM) -> DataFrame:
-    """A3: how many (report, user) pairs opened a report n times, by n."""
-    rows = (client_rows
-            .select(funnel_identity().alias("uid"), clean_path("url").alias("path"))
-            .filter(F.col("path").contains(param)))
-    per_pair = (rows.select(path_param("path", param).alias("report"), "uid")
-                .groupBy("report", "uid").agg(F.count(F.lit(1)).alias("times_opened")))
-    return (per_pair.groupBy("times_opened").agg(F.count(F.lit(1)).alias("cnt"))
-            .orderBy("times_opened"))
+    """A3: how many (report, user) pairs opened a report n times, by n.
+
+    The report id is a projected column (null when the path does not name
+    a report) rather than a row filter: a filter on a parsed column would
+    be pushed below the projections with the parse inlined into it."""
+    parsed = with_url_fields(_user_urls(client_rows), "url", fields=("clean",), urls_only=True)
+    report = F.when(F.col("clean").contains(param), path_param("clean", param))
+    per_pair = (parsed.select(report.alias("report"), "uid", "_n")
+                .groupBy("report", "uid").agg(F.sum("_n").alias("times_opened")))
+    hist = per_pair.groupBy("times_opened").agg(F.count("report").alias("cnt"))
+    return hist.filter(F.col("cnt") > 0).orderBy("times_opened")
 
 
 def distinct_steps(client_rows: DataFrame) -> DataFrame:
     """A4: distinct (user, step) pairs; rows without a parsable URL drop."""
-    return (client_rows
-            .select(funnel_identity().alias("uid"), url_steps("url").alias("url"))
-            .filter(F.col("url").isNotNull())
+    pairs = _user_urls(client_rows).select("uid", "url")
+    return (with_url_fields(pairs, "url", fields=("steps",), urls_only=True)
+            .select("uid", F.col("steps").alias("url"))
             .distinct())
 
 

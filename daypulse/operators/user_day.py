@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daypulse.functions.urls import is_wechat
+from daypulse.functions.urls import with_url_fields
 from daypulse.operators.agents import parse_user_agents
 from daypulse.operators.geo import with_location
 
@@ -28,8 +28,8 @@ def user_day(client_rows: DataFrame, order_cols=("t", "event_id")) -> DataFrame:
     holds a third of the rows is combined before the shuffle.
     """
     order = F.struct(*[F.col(c) for c in order_cols])
-    rows = client_rows.select(
-        "date", "uid", "_id", "app_id", is_wechat("url").alias("is_wechat"),
+    rows = with_url_fields(client_rows, "url", fields=("is_wechat",)).select(
+        "date", "uid", "_id", "app_id", "is_wechat",
         F.col("res").alias("resolution"), "u_a", "ip", order.alias("_ord"))
     return rows.groupBy("date", "uid", "_id").agg(
         *[latest_non_null(c, F.col("_ord")) for c in USER_DAY_VALUES])

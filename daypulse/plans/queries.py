@@ -16,9 +16,8 @@ from pyspark.sql import types as T
 from daypulse import fixtures as fx
 from daypulse import schemas
 from daypulse.functions import labels
-from daypulse.functions.agents import ua_struct
 from daypulse.functions.net import ip_to_long
-from daypulse.functions.urls import clean_path, decode_url, is_wechat, path_param, url_steps
+from daypulse.functions.urls import decode_url, path_param, with_url_fields
 from daypulse.operators import activity, bi, commerce, funnel, geo, logs, retention, sessions
 from daypulse.operators.agents import UA_FIELDS, parse_user_agents
 from daypulse.operators.identity import combined_identity, funnel_identity
@@ -179,22 +178,21 @@ def url_decode(spark, sf_dir):
 @register
 def url_clean(spark, sf_dir):
     """F2 + F3."""
-    return _client(spark, sf_dir).select(
-        "event_id", clean_path("url").alias("path"), is_wechat("url").alias("is_wechat"))
+    return (with_url_fields(_client(spark, sf_dir), "url", fields=("clean", "is_wechat"))
+            .select("event_id", F.col("clean").alias("path"), "is_wechat"))
 
 
 @register
 def url_steps_query(spark, sf_dir):
     """F4."""
-    return _client(spark, sf_dir).select("event_id", url_steps("url").alias("steps"))
+    return with_url_fields(_client(spark, sf_dir), "url", fields=("steps",)).select("event_id", "steps")
 
 
 @register
 def path_param_query(spark, sf_dir):
     """F5 on the cleaned path."""
-    rows = _client(spark, sf_dir).select("event_id", clean_path("url").alias("path"))
-    return (rows.filter(F.col("path").isNotNull())
-            .select("event_id", path_param("path", funnel.REPORT_PARAM).alias("report")))
+    rows = with_url_fields(_client(spark, sf_dir), "url", fields=("clean",), urls_only=True)
+    return rows.select("event_id", path_param("clean", funnel.REPORT_PARAM).alias("report"))
 
 
 @register
