@@ -75,24 +75,21 @@ def _expand_spans(totals: DataFrame, group: list[str], running: list[str],
         *[F.col(c).cast("bigint").alias(c) for c in running], *carry)
 
 
-def active_users_interval(user_dims: DataFrame, dims=None) -> DataFrame:
-    """A2, scale form (same rows as :func:`active_users_explode`).
+def _activity_events(user_dims: DataFrame, d: list[str]) -> DataFrame:
+    """The +1/-1 events of A2 (columns: dims..., day, dau, wau, mau,
+    _exists, sessions) from one read of ``user_dims``.
 
-    Three series come out of one read of ``user_dims``: each row is tagged
-    three ways — ``u`` (its uid; null uids skipped), ``e`` (the dims tuple
-    exists that day) and ``s`` (its session id) — and de-duplicated with a
-    map-side-combined aggregation, so a hot dims tuple or user is reduced to
-    one row per day before any shuffle. One ``lead`` window per (tag, key,
-    dims) turns each active day into +1/-1 events:
+    Each row is tagged three ways — ``u`` (its uid; null uids skipped),
+    ``e`` (the dims tuple exists that day) and ``s`` (its session id) — and
+    de-duplicated with a map-side-combined aggregation, so a hot dims tuple
+    or user is reduced to one row per day before any shuffle. One ``lead``
+    window per (tag, key, dims) turns each active day into events:
 
     * ``u``: dau/wau/mau with N = 1/8/31 over distinct (uid, dims, date);
     * ``e``: ``_exists`` with N = 31 (the output has a row for each dims
       tuple up to 30 days after its last activity, zeros included);
     * ``s``: ``sessions`` +1 on the day (distinct session ids).
-
-    Then one aggregation per (dims, day) and one running-sum window.
     """
-    d = _dims(dims)
     metrics = {"dau": DAU_DAYS, "wau": WAU_DAYS, "mau": MAU_DAYS}
     names = [*metrics, "_exists", "sessions"]
     tags = F.array(
@@ -120,10 +117,33 @@ def active_users_interval(user_dims: DataFrame, dims=None) -> DataFrame:
     session_events = F.array(event(day, sessions=1))
     events = (F.when(tag == "u", user_events).when(tag == "e", exist_events)
               .otherwise(session_events))
-    totals = (nxt.select(*d, F.explode(events).alias("_e")).select(*d, "_e.*")
-              .groupBy(*d, "day").agg(*[F.sum(c).alias(c) for c in names]))
-    out = _expand_spans(totals, d, [*metrics, "_exists"], ["sessions"], F.col("_exists") > 0)
-    return out.select("date", *d, "sessions", *metrics)
+    return nxt.select(*d, F.explode(events).alias("_e")).select(*d, "_e.*")
+
+
+_METRICS = ["dau", "wau", "mau"]
+
+
+def _rolled(events: DataFrame, group: list[str]) -> DataFrame:
+    totals = events.groupBy(*group, "day").agg(
+        *[F.sum(c).alias(c) for c in [*_METRICS, "_exists", "sessions"]])
+    out = _expand_spans(totals, group, [*_METRICS, "_exists"], ["sessions"], F.col("_exists") > 0)
+    return out.select("date", *group, "sessions", *_METRICS)
+
+
+def active_users_interval(user_dims: DataFrame, dims=None) -> DataFrame:
+    """A2, scale form (same rows as :func:`active_users_explode`): the
+    events of :func:`_activity_events`, one aggregation per (dims, day) and
+    one running-sum window per dims tuple."""
+    d = _dims(dims)
+    return _rolled(_activity_events(user_dims, d), d)
+
+
+def active_users_dims_summed(user_dims: DataFrame, dims=None) -> DataFrame:
+    """A2 summed over its dimensions per day (what B9 shows), without
+    building the per-dims table: a sum over dims of running sums is the
+    running sum of the per-day summed events. Equals
+    ``basics_per_day(active_users_interval(user_dims, dims))``."""
+    return _rolled(_activity_events(user_dims, _dims(dims)), [])
 
 
 def active_users_total(user_dims: DataFrame) -> DataFrame:

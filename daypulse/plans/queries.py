@@ -473,15 +473,15 @@ def users_per_day(spark, sf_dir):
 
 @register
 def bi_basics_per_day(spark, sf_dir):
-    """B9 over the A2 table."""
-    return bi.basics_per_day(activity.active_users_interval(_user_dims(spark, sf_dir)))
+    """The A2 table summed over its dimensions, per day (rolled up from
+    the A2 events directly; equals ``basics_per_day`` of the A2 table)."""
+    return activity.active_users_dims_summed(_user_dims(spark, sf_dir))
 
 
 @register
 def bi_measures_long(spark, sf_dir):
     """B10 (+F13)."""
-    per_day = bi.basics_per_day(activity.active_users_interval(_user_dims(spark, sf_dir)))
-    return bi.measures_long(per_day)
+    return bi.measures_long(activity.active_users_dims_summed(_user_dims(spark, sf_dir)))
 
 
 @register

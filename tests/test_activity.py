@@ -116,3 +116,19 @@ def test_high_water_mark(spark):
     df = spark.createDataFrame([(_day(0),), (_day(5),)], "date date")
     assert activity.high_water_mark(df).collect()[0][0] == _day(4)
     assert activity.since_mark(df, "2024-01-31").count() == 1
+
+
+def test_dims_summed_equals_sum_of_table(spark):
+    from daypulse.operators import bi
+    rnd = random.Random(3)
+    rows, seen = [], set()
+    for _ in range(40):
+        key = (rnd.randrange(40), rnd.choice([None, "", "u1", "u2", "u3", "u4"]), f"s{rnd.randrange(5)}")
+        if key not in seen:
+            seen.add(key)
+            rows.append((_day(key[0]), key[1], key[2], rnd.randrange(2), rnd.random() < 0.5))
+    df = spark.createDataFrame(rows, SCHEMA)
+    summed = _rows(activity.active_users_dims_summed(df, DIMS))
+    via_table = _rows(bi.basics_per_day(activity.active_users_interval(df, DIMS))
+                      .select("date", "sessions", "dau", "wau", "mau"))
+    assert summed == via_table
