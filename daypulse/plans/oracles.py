@@ -347,7 +347,7 @@ WHERE o_orderstatus <> 'P'""",
     "sessions_with_age": _with(_CL, SESSIONS, body="SELECT * FROM swa"),
     "sessions_snapshot": _with(_CL, SESSIONS, body="SELECT * FROM swa"),
     "new_users": _with(_CL, SESSIONS, body="""
-SELECT date, COUNT_IF(date = earliest_date) AS new_users FROM swa GROUP BY date"""),
+SELECT date, CAST(COUNT_IF(date = earliest_date) AS BIGINT) AS new_users FROM swa GROUP BY date"""),
     "active_datapoints": _with(_CL, SESSIONS, """
 daily AS (SELECT date, COUNT(*) AS n FROM swa GROUP BY date),
 days AS (SELECT DISTINCT date + CAST(o.off AS INTEGER) AS day
@@ -358,9 +358,9 @@ SELECT d.day AS date,
   CAST(coalesce(SUM(n), 0) AS BIGINT) AS mau
 FROM days d JOIN daily ON daily.date BETWEEN d.day - 30 AND d.day GROUP BY d.day"""),
     "returning_counts": _with(_CL, SESSIONS, body="""
-SELECT date, COUNT_IF(date_diff('day', earliest_date, date) = 1) AS d1_returning,
-             COUNT_IF(date_diff('day', earliest_date, date) = 7) AS d7_returning,
-             COUNT_IF(date_diff('day', earliest_date, date) = 30) AS d30_returning
+SELECT date, CAST(COUNT_IF(date_diff('day', earliest_date, date) = 1) AS BIGINT) AS d1_returning,
+             CAST(COUNT_IF(date_diff('day', earliest_date, date) = 7) AS BIGINT) AS d7_returning,
+             CAST(COUNT_IF(date_diff('day', earliest_date, date) = 30) AS BIGINT) AS d30_returning
 FROM swa GROUP BY date"""),
     "rows_to_json": _with(_CL, SESSIONS, body="""
 SELECT CAST(to_json(struct_pack(date := date, combined_id := combined_id, earliest_date := earliest_date,
