@@ -14,12 +14,14 @@ from daypulse.operators.geo import with_location
 USER_DAY_VALUES = ("app_id", "is_wechat", "resolution", "u_a", "ip")
 
 
-def latest_non_null(col: str, order: Column) -> Column:
-    """Value of ``col`` on the latest row where it is not null."""
+def latest_non_null(col: str, order_cols) -> Column:
+    """Value of ``col`` on the latest row where it is not null; the value
+    itself breaks remaining ties, so the pick never depends on row order."""
+    order = F.struct(*[F.col(c) for c in order_cols], F.col(col).alias("_tie"))
     return F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order)).alias(col)
 
 
-def user_day(client_rows: DataFrame, order_cols=("t", "event_id")) -> DataFrame:
+def user_day(client_rows: DataFrame, order_cols=("t",)) -> DataFrame:
     """A1: group by (date, uid, _id); keep the latest non-null app, in-app
     flag, resolution, user agent and IP. "Latest" is by event time with the
     remaining order columns as tie-break, so the result is deterministic.
@@ -27,12 +29,11 @@ def user_day(client_rows: DataFrame, order_cols=("t", "event_id")) -> DataFrame:
     A grouped aggregate (partial on the map side), not a window: a key that
     holds a third of the rows is combined before the shuffle.
     """
-    order = F.struct(*[F.col(c) for c in order_cols])
     rows = with_url_fields(client_rows, "url", fields=("is_wechat",)).select(
         "date", "uid", "_id", "app_id", "is_wechat",
-        F.col("res").alias("resolution"), "u_a", "ip", order.alias("_ord"))
+        F.col("res").alias("resolution"), "u_a", "ip", *order_cols)
     return rows.groupBy("date", "uid", "_id").agg(
-        *[latest_non_null(c, F.col("_ord")) for c in USER_DAY_VALUES])
+        *[latest_non_null(c, order_cols) for c in USER_DAY_VALUES])
 
 
 def user_day_dims(user_days: DataFrame, geo_ranges: DataFrame,

@@ -67,7 +67,7 @@ def _geo(spark, sf_dir) -> DataFrame:
 
 
 def _user_days(spark, sf_dir) -> DataFrame:
-    return user_day(_client(spark, sf_dir))
+    return user_day(_client(spark, sf_dir), order_cols=("t", "event_id"))
 
 
 def _user_dims(spark, sf_dir) -> DataFrame:
