@@ -71,17 +71,37 @@ def local_session(cores: int = 8, driver_memory: str = "16g") -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder the cluster names in
+    ``spark.checkpoint.dir`` (or one set on the context). Library code that
+    cuts lineage calls this; it never invents a machine-local folder."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        spark.sparkContext.setCheckpointDir(configured)
+        return spark.sparkContext.getCheckpointDir() or configured
+    if _is_local(spark):
+        return ensure_checkpoint_dir(spark)
+    raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
+                       "(e.g. an hdfs:// or s3a:// folder) to run this job on a cluster")
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) a fresh folder is made.
-    """
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Checkpoint folder for local sessions (tests, bench): the configured
+    one if any, else a fresh folder under /tmp — only in ``local[...]``."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(spark):
+            return checkpoint_dir(spark)
         configured = tempfile.mkdtemp(prefix="daypulse-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from daypulse.operators.sessions import REQUIRED, session_aggs, session_datapoints
-from daypulse.session import ensure_checkpoint_dir
+from daypulse.session import checkpoint_dir
 from daypulse.sinks.tables import path_exists, write_table
 
 SESSION_COLS = ("_id", "uid", "date", "start_t", "end_t")
@@ -38,7 +38,7 @@ def merge_sessions(states: DataFrame, batch_id: int, sessions_path: str,
                    datapoints_path: str) -> None:
     """foreachBatch body: upsert touched sessions, recompute their days."""
     spark = states.sparkSession
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)  # shared folder from spark.checkpoint.dir
     states = states.select(*SESSION_COLS).persist()
     try:
         # The days touched by one micro-batch: a short, bounded list.
