@@ -4,9 +4,9 @@ class relation star join (J6).
 
 "Latest"/"first" always means a total order given by the caller (event
 time, then unique tie-break columns), so results do not depend on the
-order rows arrive in. They are grouped aggregates with ``max_by``/``min_by``
-— combined on the map side, so a key that holds a third of all rows never
-lands whole in one task.
+order rows arrive in. They are grouped ``max``/``min`` over one row struct
+(order fields first) — combined on the map side, so a key that holds a
+third of all rows never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -20,20 +20,22 @@ PAYMENT_ORDER = ("date", "line_no", "part_key", "supp_key")
 
 
 def _pick(df: DataFrame, keys, order, values, fn) -> DataFrame:
-    ordering = F.struct(*[F.col(c) for c in order])
-    picked = F.struct(*[F.col(c) for c in values])
-    return (df.groupBy(*keys).agg(fn(picked, ordering).alias("_v"))
-            .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]))
+    # One struct (order..., values...) compared field by field: the order
+    # decides, the values break any remaining tie, so the pick is total.
+    row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                   *[F.col(c).alias(f"_v{i}") for i, c in enumerate(values)])
+    return (df.groupBy(*keys).agg(fn(row).alias("_r"))
+            .select(*keys, *[F.col(f"_r._v{i}").alias(c) for i, c in enumerate(values)]))
 
 
 def latest_per_key(df: DataFrame, keys, order, values) -> DataFrame:
     """The values of the row with the greatest ``order`` per key."""
-    return _pick(df, keys, order, values, F.max_by)
+    return _pick(df, keys, order, values, F.max)
 
 
 def first_per_key(df: DataFrame, keys, order, values) -> DataFrame:
     """Keep one row per key — the one with the smallest ``order``."""
-    return _pick(df, keys, order, values, F.min_by)
+    return _pick(df, keys, order, values, F.min)
 
 
 def revenue_by_channel(payments: DataFrame, on_unknown: str = "label") -> DataFrame:

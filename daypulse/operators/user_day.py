@@ -17,8 +17,9 @@ USER_DAY_VALUES = ("app_id", "is_wechat", "resolution", "u_a", "ip")
 def latest_non_null(col: str, order_cols) -> Column:
     """Value of ``col`` on the latest row where it is not null; the value
     itself breaks remaining ties, so the pick never depends on row order."""
-    order = F.struct(*[F.col(c) for c in order_cols], F.col(col).alias("_tie"))
-    return F.max_by(F.col(col), F.when(F.col(col).isNotNull(), order)).alias(col)
+    row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                   F.col(col).alias("_v"))
+    return F.max(F.when(F.col(col).isNotNull(), row))["_v"].alias(col)
 
 
 def user_day(client_rows: DataFrame, order_cols=("t",)) -> DataFrame:
