@@ -34,10 +34,11 @@ def location_label(ranges: DataFrame) -> DataFrame:
 
 
 def _best(cands: DataFrame) -> DataFrame:
-    order = F.when(F.col("_loc").isNotNull(),
-                   F.struct(F.col("start_ip"), (-F.col("end_ip")).alias("neg_end"), F.col("_loc")))
+    # Greatest start, then narrowest range, then label: one struct max.
+    hit = F.when(F.col("_loc").isNotNull(),
+                 F.struct(F.col("start_ip"), (-F.col("end_ip")).alias("neg_end"), F.col("_loc")))
     return (cands.groupBy("_ip", "_ipn")
-            .agg(F.coalesce(F.max_by("_loc", order), F.lit(UNKNOWN)).alias("_location")))
+            .agg(F.coalesce(F.max(hit)["_loc"], F.lit(UNKNOWN)).alias("_location")))
 
 
 def locate_ips(ips: DataFrame, ranges: DataFrame, strategy: str = "bucketed",

@@ -20,7 +20,7 @@ def session_aggs() -> list[Column]:
     """T3 state merge as aggregates: first non-empty uid (earliest by event
     time, then by value), first day, first and last event time."""
     known = F.when(F.col("uid") != "", F.struct("t", "uid"))
-    return [F.coalesce(F.min_by("uid", known), F.lit("")).alias("uid"),
+    return [F.coalesce(F.min(known)["uid"], F.lit("")).alias("uid"),
             F.min("date").alias("date"),
             F.min("t").alias("start_t"),
             F.max("t").alias("end_t")]
