@@ -17,9 +17,13 @@ from daypulse.functions.agents import ua_struct
 UA_FIELDS = ("device", "os", "os_version", "language", "network", "browser")
 
 
-def parse_user_agents(df: DataFrame, ua_col: str = "u_a") -> DataFrame:
-    """Add the UA fields of F6/F7 to ``df``."""
-    dim = (df.select(F.col(ua_col).alias("_ua")).distinct()
+def parse_user_agents(df: DataFrame, ua_col: str = "u_a",
+                      keys: DataFrame | None = None) -> DataFrame:
+    """Add the UA fields of F6/F7 to ``df``. The dimension is parsed from
+    the distinct values of ``keys[ua_col]`` (default: ``df`` itself; a
+    superset such as the raw rows avoids computing ``df`` twice)."""
+    source = df if keys is None else keys
+    dim = (source.select(F.col(ua_col).alias("_ua")).distinct()
            .select("_ua", ua_struct("_ua").alias("_p"))
            .select("_ua", *[F.col(f"_p.{f}").alias(f) for f in UA_FIELDS]))
     return (df.join(dim, df[ua_col].eqNullSafe(dim["_ua"]), "left").drop("_ua"))

@@ -63,8 +63,14 @@ def locate_ips(ips: DataFrame, ranges: DataFrame, strategy: str = "bucketed",
 
 def with_location(facts: DataFrame, ranges: DataFrame, ip_col: str = "ip",
                   out_col: str = "loc", strategy: str = "bucketed",
-                  bucket_bits: int = 16) -> DataFrame:
-    """Add ``out_col`` (location label) to every fact row by its IP."""
-    located = locate_ips(facts.select(F.col(ip_col).alias("_ip")), ranges, strategy, bucket_bits)
+                  bucket_bits: int = 16, keys: DataFrame | None = None) -> DataFrame:
+    """Add ``out_col`` (location label) to every fact row by its IP.
+
+    The lookup table is built from the distinct IPs of ``keys`` (a frame
+    with an ``ip_col`` column holding at least the facts' IPs; default: the
+    facts). Passing a cheap superset — e.g. the raw rows the facts were
+    aggregated from — avoids computing the facts twice."""
+    source = facts if keys is None else keys
+    located = locate_ips(source.select(F.col(ip_col).alias("_ip")), ranges, strategy, bucket_bits)
     joined = facts.join(located, facts[ip_col].eqNullSafe(located["_ip"]), "left")
     return joined.withColumn(out_col, F.col("_location")).drop("_ip", "_ipn", "_location")

@@ -71,7 +71,9 @@ def _user_days(spark, sf_dir) -> DataFrame:
 
 
 def _user_dims(spark, sf_dir) -> DataFrame:
-    return user_day_dims(_user_days(spark, sf_dir), _geo(spark, sf_dir))
+    rows = _client(spark, sf_dir)
+    days = user_day(rows, order_cols=("t", "event_id"))
+    return user_day_dims(days, _geo(spark, sf_dir), keys=rows.select("ip", "u_a"))
 
 
 def _sessions(spark, sf_dir) -> DataFrame:
