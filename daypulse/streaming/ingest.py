@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.streaming import StreamingQuery
 
 from daypulse import schemas
@@ -35,9 +36,29 @@ def server_rows(lines: DataFrame) -> DataFrame:
     return logs.parse_server_lines(lines, "value")
 
 
-def write_batch(batch: DataFrame, batch_id: int, target: str) -> None:
-    write_table(batch.withColumn(BATCH_COL, F.lit(batch_id)), target,
-                partition_by=["date", BATCH_COL], mode="overwrite")
+def write_batch(batch: DataFrame, batch_id: int, target: str,
+                also_table: str | None = None) -> None:
+    """Write one micro-batch, idempotently (dynamic overwrite of its own
+    ``(date, _batch_id)`` partitions). K9: ``also_table`` writes the same
+    rows to a second target (e.g. a catalog table next to the files)."""
+    rows = batch.withColumn(BATCH_COL, F.lit(batch_id))
+    if also_table:
+        rows = rows.persist()  # parsed once, written twice
+    try:
+        for t in [target] + ([also_table] if also_table else []):
+            write_table(rows, t, partition_by=["date", BATCH_COL], mode="overwrite")
+    finally:
+        if also_table:
+            rows.unpersist()
+
+
+def reset_targets(spark, targets: dict[str, tuple[str, StructType]]) -> None:
+    """S2 replay: replace every target by an empty table of its schema (a
+    static overwrite of the whole path). Pair it with a new checkpoint
+    folder and ``from_start=True`` on the source."""
+    from daypulse.sources.tables import empty_table
+    for path, schema in targets.values():
+        write_table(empty_table(spark, schema), path, mode="overwrite")
 
 
 def fan_out(batch: DataFrame, batch_id: int, targets: dict[str, str],

@@ -131,3 +131,14 @@ def test_geo_csv_load_or_build(spark, tmp_dir):
         f.write("400,500,E,e\n")
     assert load_or_build_geo(spark, csv, table).count() == 2  # stored table reused
     assert load_or_build_geo(spark, csv, table, force=True).count() == 3
+
+
+def test_batch_to_two_targets_and_reset(spark, tmp_dir):
+    from daypulse.streaming.ingest import reset_targets, write_batch
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), "a")], "date date, k string")
+    a, b = os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")
+    write_batch(df, 3, a, also_table=b)
+    write_batch(df, 3, a, also_table=b)  # replay: same partitions rewritten
+    assert spark.read.parquet(a).count() == spark.read.parquet(b).count() == 1
+    reset_targets(spark, {"a": (a, df.schema)})
+    assert spark.read.parquet(a).count() == 0
