@@ -66,6 +66,14 @@ def write_and_check(df: DataFrame, target: str, partition_by=None, mode: str = "
     return n
 
 
+def save_and_preview(df: DataFrame, target: str, partition_by=None, mode: str = "append",
+                     n: int = 20) -> DataFrame:
+    """K4: write, then return the first ``n`` rows *of the written table*
+    (a cheap limited scan; the frame is not recomputed)."""
+    write_table(df, target, partition_by, mode)
+    return read_table(df.sparkSession, target).limit(n)
+
+
 def to_json_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     """K8: each row as one JSON object (executor-side; null fields omitted).
 

@@ -61,14 +61,31 @@ def reset_targets(spark, targets: dict[str, tuple[str, StructType]]) -> None:
         write_table(empty_table(spark, schema), path, mode="overwrite")
 
 
+# Keys of the keep-one dedup (A16) per route, ``dedup_scope="batch"``.
+DEDUP_KEYS = {"payment": ("purchaseNumber",), "refund": ("purchaseNumber", "actionType")}
+
+
+def keep_one(rows: DataFrame, keys) -> DataFrame:
+    """A16 inside one batch: one row per key, the smallest by all other
+    columns (deterministic, unlike an arbitrary ``dropDuplicates``)."""
+    from daypulse.operators.commerce import first_per_key
+    rest = [c for c in rows.columns if c not in keys]
+    return first_per_key(rows, list(keys), rest, rest)
+
+
 def fan_out(batch: DataFrame, batch_id: int, targets: dict[str, str],
-            action_col: str = "actionType") -> None:
+            action_col: str = "actionType", dedup_scope: str | None = None) -> None:
     """K7: one parsed batch -> one table per route (rows of no route are
-    dropped, as the reference's filters drop them)."""
+    dropped, as the reference's filters drop them). ``dedup_scope="batch"``
+    keeps one payment per purchase and one refund per (purchase, action)
+    within the batch (A16); table-wide dedup is the batch operator
+    :func:`daypulse.operators.commerce.dedup_payments` / ``dedup_refunds``."""
     batch = batch.persist()
     try:
         for name, target in targets.items():
             routed = batch.filter(F.col(action_col).isin(*ROUTES[name]))
+            if dedup_scope == "batch" and name in DEDUP_KEYS:
+                routed = keep_one(routed, DEDUP_KEYS[name])
             write_batch(routed, batch_id, target)
     finally:
         batch.unpersist()

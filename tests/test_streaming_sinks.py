@@ -142,3 +142,15 @@ def test_batch_to_two_targets_and_reset(spark, tmp_dir):
     assert spark.read.parquet(a).count() == spark.read.parquet(b).count() == 1
     reset_targets(spark, {"a": (a, df.schema)})
     assert spark.read.parquet(a).count() == 0
+
+
+def test_batch_scope_dedup_and_preview(spark, tmp_dir):
+    from daypulse.sinks.tables import save_and_preview
+    body = '2024-01-02 00:00:00.000 {"actionType":"pay","purchaseNumber":"%s","totalPrice":%d}'
+    lines = spark.createDataFrame([(body % ("p1", 5),), (body % ("p1", 3),), (body % ("p2", 1),)], "value string")
+    target = os.path.join(tmp_dir, "pay")
+    ingest.fan_out(ingest.server_rows(lines), 0, {"payment": target}, dedup_scope="batch")
+    got = sorted((r.purchaseNumber, r.totalPrice) for r in spark.read.parquet(target).collect())
+    assert got == [("p1", 3), ("p2", 1)]
+    prev = save_and_preview(spark.read.parquet(target), os.path.join(tmp_dir, "copy"), n=1)
+    assert prev.count() == 1
