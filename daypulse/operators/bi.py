@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daypulse.functions.dates import day_trunc, ms_to_seconds
+from daypulse.functions.dates import day_trunc
 from daypulse.operators.activity import dense_calendar, trailing_active
 from daypulse.operators.retention import dx_retention  # noqa: F401  (B3)
 from daypulse.operators.sessions import new_users  # noqa: F401  (B4)
@@ -26,16 +26,21 @@ def xau(sessions: DataFrame, x: int = 30) -> DataFrame:
     return trailing_active(sessions, "combined_id", x)
 
 
+def _exact_avg(col, scale: float = 1.0):
+    # The integer sum is exact, so the average is one rounding away from
+    # the true value whatever the summation order (unlike avg of doubles).
+    return F.sum(F.col(col).cast("bigint")).cast("double") / F.count(F.lit(1)) / F.lit(scale)
+
+
 def session_time_avg(sessions: DataFrame) -> DataFrame:
     """Average session seconds per day (``INT(sessionLength)/1000``)."""
     return sessions.groupBy("date").agg(
-        F.avg(ms_to_seconds("session_length")).alias("avg_session_seconds"))
+        _exact_avg("session_length", 1000.0).alias("avg_session_seconds"))
 
 
 def sessions_avg(sessions: DataFrame) -> DataFrame:
     """Average sessions per user-day."""
-    return sessions.groupBy("date").agg(
-        F.avg(F.col("session_count").cast("bigint")).alias("avg_sessions"))
+    return sessions.groupBy("date").agg(_exact_avg("session_count").alias("avg_sessions"))
 
 
 def sessions_total(sessions: DataFrame) -> DataFrame:
