@@ -11,7 +11,11 @@
   its full length (the reference added it twice).
 
 Every batch rewrites whole ``date`` partitions with dynamic partition
-overwrite: replaying a batch after a failure gives the same tables.
+overwrite: replaying a batch after a failure gives the same tables. Late
+data can move a session's first day earlier; the old row is found because
+the state also keeps the session's last day. (A day whose *only* session
+moves away keeps that row: dynamic overwrite leaves partitions without new
+rows untouched.)
 The batch-side functions define the semantics; the stream must equal
 ``sessions_table`` of all rows read so far.
 """
@@ -30,8 +34,11 @@ SESSION_COLS = ("_id", "uid", "date", "start_t", "end_t")
 
 
 def session_states(client_rows: DataFrame) -> DataFrame:
-    """T3 on a stream (or batch): current state of each session id."""
-    return client_rows.na.drop(subset=list(REQUIRED)).groupBy("_id").agg(*session_aggs())
+    """T3 on a stream (or batch): current state of each session id, plus
+    ``last_date`` (the session's latest day) so that a row stored under an
+    older first day can be found again when late data moves it earlier."""
+    return (client_rows.na.drop(subset=list(REQUIRED)).groupBy("_id")
+            .agg(*session_aggs(), F.max("date").alias("last_date")))
 
 
 def merge_sessions(states: DataFrame, batch_id: int, sessions_path: str,
@@ -39,12 +46,15 @@ def merge_sessions(states: DataFrame, batch_id: int, sessions_path: str,
     """foreachBatch body: upsert touched sessions, recompute their days."""
     spark = states.sparkSession
     checkpoint_dir(spark)  # shared folder from spark.checkpoint.dir
-    states = states.select(*SESSION_COLS).persist()
+    states = states.persist()
     try:
-        # The days touched by one micro-batch: a short, bounded list.
-        days = [r["date"] for r in states.select("date").distinct().collect()]
+        # Days to rewrite: each touched session's first..last day (its stored
+        # row, if any, has a first day in that range). A short, bounded list.
+        span = F.explode(F.sequence("date", F.coalesce("last_date", "date"))).alias("day")
+        days = [r["day"] for r in states.select(span).distinct().collect()]
         if not days:
             return
+        states = states.select(*SESSION_COLS)
         merged = states
         if path_exists(spark, sessions_path):
             current = (spark.read.parquet(sessions_path)

@@ -154,3 +154,24 @@ def test_batch_scope_dedup_and_preview(spark, tmp_dir):
     assert got == [("p1", 3), ("p2", 1)]
     prev = save_and_preview(spark.read.parquet(target), os.path.join(tmp_dir, "copy"), n=1)
     assert prev.count() == 1
+
+
+def test_session_moves_to_an_earlier_day(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    d1 = D0 + dt.timedelta(days=1)
+    paths = {k: os.path.join(out, k) for k in ("sessions", "datapoints", "ckpt")}
+
+    def run_once():
+        lines = read_log_stream(spark, "text", path=src)
+        _run(start_session_job(ingest.client_rows(lines), paths["sessions"], paths["datapoints"],
+                               paths["ckpt"], trigger={"availableNow": True}))
+
+    _write_lines(src, "a.txt", [_client_line(_ms(d1), "u1", "s1"), _client_line(_ms(d1) + 9, "u2", "s2")])
+    run_once()
+    _write_lines(src, "b.txt", [_client_line(_ms(d1) - 1000, "u1", "s1")])  # late: day before
+    run_once()
+    snap = {r._id: r.date for r in spark.read.parquet(paths["sessions"]).collect()}
+    assert snap == {"s1": D0.date(), "s2": d1.date()}
+    dps = sorted((r.combined_id, r.date) for r in spark.read.parquet(paths["datapoints"]).collect())
+    assert dps == [("u1", D0.date()), ("u2", d1.date())]
