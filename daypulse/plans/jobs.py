@@ -85,3 +85,17 @@ def run_server_job(spark: SparkSession, payments: DataFrame, refunds: DataFrame,
                 mode="overwrite")
     write_table(commerce.students_by_day(students), out.students, partition_by="date",
                 mode="overwrite")
+
+
+RELATION_TABLES = ("lineitem", "part", "orders", "customer", "nation", "region", "supplier")
+
+
+def run_relation_sync(load, target: str) -> None:
+    """J6 + S7: load the seven relation tables (``load(name)`` returns a
+    DataFrame — e.g. :func:`daypulse.sources.streams.read_jdbc_query` with a
+    partitioned range read in production) and run the star join in Spark,
+    instead of shipping one big join query to the database; then replace
+    the relation table."""
+    tables = {name: load(name) for name in RELATION_TABLES}
+    relation = commerce.class_relation(*[tables[n] for n in RELATION_TABLES])
+    write_table(relation, target, mode="overwrite")

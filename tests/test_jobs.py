@@ -52,3 +52,15 @@ def test_server_job(spark, tmp_dir):
     rev = spark.read.parquet(out.revenue)
     assert rev.count() > 0 and rev.agg(F.sum("total_price")).collect()[0][0] > 0
     assert spark.read.parquet(out.students).count() > 0
+
+
+def test_relation_sync(spark, tmp_dir):
+    from daypulse.plans.jobs import run_relation_sync
+    target = os.path.join(tmp_dir, "relation")
+    run_relation_sync(lambda name: fx.table(spark, SF, name), target)
+    got = spark.read.parquet(target)
+    assert got.columns == ["id", "class_name", "course_name", "grade_name", "subject_name",
+                           "season", "teacher_name"]
+    orders = fx.table(spark, SF, "orders").filter(F.col("o_orderstatus") != "P")
+    expect = fx.table(spark, SF, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).count()
+    assert got.count() == expect
