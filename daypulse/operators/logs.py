@@ -79,6 +79,21 @@ def video_playbacks(client_rows: DataFrame) -> DataFrame:
             .groupBy("date").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def server_refund_records(server_rows: DataFrame, tz: str = "UTC") -> DataFrame:
+    """P9 + P11 + P13 on raw server rows: the refund table layout with the
+    status name of the status code and the business day = verify time,
+    else update time, else the log day (verify time kept as a day, null if
+    absent)."""
+    verify = millis_to_date("verifyTime", tz)
+    update = millis_to_date("updateTime", tz)
+    return (route(server_rows, "refund")
+            .select("actionType", F.col("studentId").alias("userId"),
+                    verify.alias("verifyTime"), "classId", "purchaseNumber",
+                    "purchaseMoney", F.col("money").alias("refundMoney"), "status",
+                    labels.refund_status_name("status").alias("statusName"),
+                    F.coalesce(verify, update, F.col("date")).alias("date")))
+
+
 def refund_records(refunds: DataFrame) -> DataFrame:
     """P13 (+P9): refund rows reshaped to the refund table layout."""
     return (route(refunds, "refund", "action_type")

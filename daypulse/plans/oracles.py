@@ -285,6 +285,13 @@ SELECT url, COUNT(DISTINCT uid) AS reach FROM pairs GROUP BY url"""),
 pairs AS (SELECT DISTINCT coalesce(nullif(uid, ''), _id) || '@' || CAST(date AS VARCHAR) AS who,
                  event_type AS step FROM client_log),
 reach AS (SELECT step, COUNT(DISTINCT who) AS r FROM pairs GROUP BY step),
+paths AS (SELECT p.who, string_agg(p.step, '>' ORDER BY reach.r DESC, p.step ASC) AS funnel
+          FROM pairs p JOIN reach ON p.step = reach.step GROUP BY p.who)""", body="""
+SELECT funnel, COUNT(*) AS cnt FROM paths GROUP BY funnel"""),
+    "funnel_url_paths": _with(_CL, CLIENT_PATHS, """
+pairs AS (SELECT DISTINCT coalesce(nullif(uid, ''), _id) AS who, steps AS step
+          FROM client_paths WHERE steps IS NOT NULL),
+reach AS (SELECT step, COUNT(DISTINCT who) AS r FROM pairs GROUP BY step),
 paths AS (SELECT p.who, string_agg(p.step, '>' ORDER BY reach.r DESC, p.step ASC) AS funnel
           FROM pairs p JOIN reach ON p.step = reach.step GROUP BY p.who)""", body="""
 SELECT funnel, COUNT(*) AS cnt FROM paths GROUP BY funnel"""),

@@ -324,6 +324,12 @@ def funnel_paths(spark, sf_dir):
     return funnel.funnel_paths(_funnel_pairs(spark, sf_dir))
 
 
+@register
+def funnel_url_paths(spark, sf_dir):
+    """A6 on URL steps per resolved user (the reference's own data flow)."""
+    return funnel.funnel_paths(funnel.distinct_steps(_client(spark, sf_dir)))
+
+
 @register
 def top_urls(spark, sf_dir):
     """O3: top-k report."""

@@ -78,3 +78,17 @@ def test_sessions_tables(spark):
     assert rc == {D0: 0, D0 + dt.timedelta(days=1): 1}
     log = s.unionByName(s.withColumn("session_length", s.session_length - 1))
     assert sorted(tuple(r) for r in sessions.snapshot(log).collect()) == sorted(tuple(r) for r in s.collect())
+
+
+def test_server_refund_records(spark):
+    body = ('2024-01-05 00:00:00.000 {"actionType":"refund_apply","purchaseNumber":"p1","studentId":7,'
+            '"money":100,"purchaseMoney":900,"status":%d%s}')
+    lines = [body % (2, ',"verifyTime":86400000,"updateTime":0'), body % (6, ',"updateTime":0'),
+             body % (9, ""), body.replace("refund_apply", "pay") % (1, "")]
+    df = logs.parse_server_lines(spark.createDataFrame([(x,) for x in lines], "line string"))
+    rows = logs.server_refund_records(df).orderBy("status").collect()
+    assert [(r.status, r.statusName, r.date, r.verifyTime) for r in rows] == [
+        (2, "待审核", dt.date(1970, 1, 2), dt.date(1970, 1, 2)),
+        (6, "退费成功(线上)", dt.date(1970, 1, 1), None),
+        (9, "待审核", dt.date(2024, 1, 5), None)]
+    assert rows[0].refundMoney == 100 and rows[0].userId == 7
