@@ -200,8 +200,16 @@ def trailing_active(active: DataFrame, entity: str, x: int,
 def dense_calendar(per_day: DataFrame, value_cols, date_col: str = "date",
                    fill=0) -> DataFrame:
     """Every day between the first and the last day appears; missing
-    days get ``fill``. The calendar is built from one aggregated row."""
-    bounds = per_day.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
-    days = bounds.select(F.explode(F.sequence("_lo", "_hi")).alias(date_col))
-    joined = days.join(per_day, date_col, "left")
-    return joined.select(date_col, *[F.coalesce(F.col(c), F.lit(fill)).alias(c) for c in value_cols])
+    days get ``fill``.
+
+    ``per_day`` has one row per day, so a single ordered window over it is
+    bounded by the calendar; each row is expanded up to the next present
+    day (one read of the input, no join)."""
+    nxt = F.lead(date_col).over(Window.orderBy(date_col))
+    rows = per_day.select(date_col, *value_cols,
+                          F.coalesce(nxt, F.date_add(date_col, 1)).alias("_next"))
+    k = F.col("_k")
+    spans = rows.select(date_col, *value_cols,
+                        F.explode(F.sequence(F.lit(0), F.datediff("_next", date_col) - 1)).alias("_k"))
+    return spans.select(F.date_add(date_col, k).alias(date_col),
+                        *[F.when(k == 0, F.col(c)).otherwise(F.lit(fill)).alias(c) for c in value_cols])

@@ -59,6 +59,8 @@ def funnel_paths(pairs: DataFrame, user: str = "uid", step: str = "url") -> Data
     ``pairs`` are distinct (user, step) rows, so a user's list is bounded by
     the step vocabulary, not by how many events the user has.
     """
+    # Null steps cannot join (and have no reach); drop them once, up front.
+    pairs = pairs.filter(F.col(step).isNotNull())
     reach = pairs.groupBy(step).agg(F.count(F.col(user)).alias("_reach"))
     ranked = pairs.join(reach, step)
     per_user = ranked.groupBy(user).agg(
