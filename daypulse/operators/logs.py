@@ -79,6 +79,16 @@ def video_playbacks(client_rows: DataFrame) -> DataFrame:
             .groupBy("date").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def server_payment_records(server_rows: DataFrame, tz: str = "UTC") -> DataFrame:
+    """P11 + P13 on raw server rows: the payment table layout; the day is
+    the pay time's day, else the log day."""
+    paid = millis_to_date("payTime", tz)
+    return (route(server_rows, "payment")
+            .select("actionType", F.col("studentId").alias("userId"), "purchaseNumber",
+                    paid.alias("payTime"), "payChannel", "totalPrice",
+                    F.coalesce(paid, F.col("date")).alias("date")))
+
+
 def server_refund_records(server_rows: DataFrame, tz: str = "UTC") -> DataFrame:
     """P9 + P11 + P13 on raw server rows: the refund table layout with the
     status name of the status code and the business day = verify time,

@@ -92,3 +92,11 @@ def test_server_refund_records(spark):
         (6, "退费成功(线上)", dt.date(1970, 1, 1), None),
         (9, "待审核", dt.date(2024, 1, 5), None)]
     assert rows[0].refundMoney == 100 and rows[0].userId == 7
+
+
+def test_server_payment_records(spark):
+    body = '2024-01-05 00:00:00.000 {"actionType":"pay","purchaseNumber":"p1","studentId":7,"totalPrice":990%s}'
+    lines = [body % ',"payTime":86400000', body % ""]
+    df = logs.parse_server_lines(spark.createDataFrame([(x,) for x in lines], "line string"))
+    got = sorted((r.payTime is None, r.date) for r in logs.server_payment_records(df).collect())
+    assert got == [(False, dt.date(1970, 1, 2)), (True, dt.date(2024, 1, 5))]
