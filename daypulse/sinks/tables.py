@@ -80,3 +80,13 @@ def to_json_rows(df: DataFrame, value_col: str = "value") -> DataFrame:
     ``df.write.format("kafka")`` of this frame replaces the driver-side
     producer; it is written to text in tests (no broker here)."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(value_col))
+
+
+def publish_json_rows(df: DataFrame, servers: str, topic: str, options: dict | None = None) -> None:
+    """K8: write every row as a JSON message to a Kafka topic from the
+    executors (needs the Kafka connector on the cluster's classpath)."""
+    writer = (to_json_rows(df).write.format("kafka")
+              .option("kafka.bootstrap.servers", servers).option("topic", topic))
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    writer.save()
