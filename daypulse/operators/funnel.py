@@ -43,12 +43,17 @@ def distinct_steps(client_rows: DataFrame) -> DataFrame:
             .distinct())
 
 
-def url_reach(pairs: DataFrame, user: str = "uid", step: str = "url") -> DataFrame:
+def url_reach(pairs: DataFrame, user: str = "uid", step: str = "url",
+              approx_rsd: float | None = None) -> DataFrame:
     """A5: distinct users per step, most reached first.
 
     ``pairs`` are distinct, so a plain count is the distinct-user count and
-    partial aggregation applies."""
-    return (pairs.groupBy(step).agg(F.count(F.col(user)).alias("reach"))
+    partial aggregation applies. With ``approx_rsd`` the pairs need not be
+    distinct: a HyperLogLog++ sketch per step (relative standard deviation
+    ``approx_rsd``) replaces the distinct shuffle."""
+    users = (F.approx_count_distinct(F.col(user), approx_rsd) if approx_rsd
+             else F.count(F.col(user)))
+    return (pairs.groupBy(step).agg(users.alias("reach"))
             .orderBy(F.desc("reach"), F.asc(step)))
 
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from daypulse.operators import commerce, funnel, retention
 
 D0 = dt.date(2024, 1, 1)
@@ -113,3 +115,14 @@ def test_refund_by_status_skips_verify_success(spark):
                                "purchase_id bigint, action_type string, money bigint, purchase_money bigint, "
                                "status int, date date")
     assert _rows(commerce.refund_by_status(df)) == [(_d(0), "待审核", 2, 2, 15)]
+
+
+def test_url_reach_approx(spark):
+    from daypulse import fixtures as fx
+    rows = fx.client_log(fx.table(spark, "/root/testdata/sf0.01", "events"))
+    pairs = rows.select(F.col("uid"), F.col("event_type").alias("url"))
+    exact = {r.url: r.reach for r in funnel.url_reach(pairs.filter("uid IS NOT NULL").distinct()).collect()}
+    approx = {r.url: r.reach for r in funnel.url_reach(pairs, approx_rsd=0.02).collect()}
+    assert set(exact) <= set(approx)
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= 0.1 * v
