@@ -33,32 +33,42 @@ def location_label(ranges: DataFrame) -> DataFrame:
                          F.concat_ws(" ", "country", "local_city").alias("_loc"))
 
 
-def _best(cands: DataFrame) -> DataFrame:
+def _best(cands: DataFrame, keys) -> DataFrame:
     # Greatest start, then narrowest range, then label: one struct max.
     hit = F.when(F.col("_loc").isNotNull(),
                  F.struct(F.col("start_ip"), (-F.col("end_ip")).alias("neg_end"), F.col("_loc")))
-    return (cands.groupBy("_ip", "_ipn")
+    return (cands.groupBy(*keys)
             .agg(F.coalesce(F.max(hit)["_loc"], F.lit(UNKNOWN)).alias("_location")))
 
 
-def locate_ips(ips: DataFrame, ranges: DataFrame, strategy: str = "bucketed",
-               bucket_bits: int = 16) -> DataFrame:
-    """Distinct IP strings -> (``_ip``, ``_ipn``, ``_location``)."""
-    keys = ips.select(F.col("_ip")).distinct().withColumn("_ipn", ip_to_long("_ip"))
+def _candidates(probes: DataFrame, ranges: DataFrame, strategy: str, bucket_bits: int) -> DataFrame:
+    """``probes`` (with ``_ipn``) left-joined with every range holding it."""
     labelled = location_label(ranges.filter(F.col("start_ip").isNotNull() & F.col("end_ip").isNotNull()))
     inside = (F.col("_ipn") >= F.col("start_ip")) & (F.col("_ipn") <= F.col("end_ip"))
     if strategy == "broadcast":
-        cands = keys.join(F.broadcast(labelled), inside, "left")
-    elif strategy == "bucketed":
+        return probes.join(F.broadcast(labelled), inside, "left")
+    if strategy == "bucketed":
         blocks = labelled.withColumn(
             "_bucket", F.explode(F.sequence(F.shiftright("start_ip", bucket_bits),
                                             F.shiftright("end_ip", bucket_bits))))
-        probes = keys.withColumn("_bucket", F.shiftright("_ipn", bucket_bits))
-        cands = probes.join(blocks, (probes["_bucket"] == blocks["_bucket"]) & inside, "left") \
-                      .drop(blocks["_bucket"])
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return _best(cands)
+        keyed = probes.withColumn("_bucket", F.shiftright("_ipn", bucket_bits))
+        return (keyed.join(blocks, (keyed["_bucket"] == blocks["_bucket"]) & inside, "left")
+                .drop(blocks["_bucket"]))
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def locate_ips(ips: DataFrame, ranges: DataFrame, strategy: str = "bucketed",
+               bucket_bits: int = 16) -> DataFrame:
+    """Distinct IP strings -> (``_ip``, ``_ipn``, ``_location``)."""
+    keys = ips.select(F.col("_ip")).distinct().withColumn("_ipn", ip_to_long("_ip"))
+    return _best(_candidates(keys, ranges, strategy, bucket_bits), ["_ip", "_ipn"])
+
+
+def locate_numbers(numbers: DataFrame, ranges: DataFrame, strategy: str = "bucketed",
+                   bucket_bits: int = 16) -> DataFrame:
+    """Distinct IPv4 numbers (column ``_ipn``) -> (``_ipn``, ``_location``)."""
+    keys = numbers.select("_ipn").distinct()
+    return _best(_candidates(keys, ranges, strategy, bucket_bits), ["_ipn"])
 
 
 def with_location(facts: DataFrame, ranges: DataFrame, ip_col: str = "ip",
@@ -66,11 +76,14 @@ def with_location(facts: DataFrame, ranges: DataFrame, ip_col: str = "ip",
                   bucket_bits: int = 16, keys: DataFrame | None = None) -> DataFrame:
     """Add ``out_col`` (location label) to every fact row by its IP.
 
-    The lookup table is built from the distinct IPs of ``keys`` (a frame
-    with an ``ip_col`` column holding at least the facts' IPs; default: the
-    facts). Passing a cheap superset — e.g. the raw rows the facts were
-    aggregated from — avoids computing the facts twice."""
+    The location depends only on the IP's number (F8; malformed or null IPs
+    are 0), so the lookup table is keyed by that ``bigint``: the join-back
+    hashes and sorts a long instead of a string and needs no null-safe
+    equality. It is built from the distinct numbers of ``keys[ip_col]``
+    (default: the facts); passing a cheap superset — e.g. the raw rows the
+    facts were aggregated from — avoids computing the facts twice."""
     source = facts if keys is None else keys
-    located = locate_ips(source.select(F.col(ip_col).alias("_ip")), ranges, strategy, bucket_bits)
-    joined = facts.join(located, facts[ip_col].eqNullSafe(located["_ip"]), "left")
-    return joined.withColumn(out_col, F.col("_location")).drop("_ip", "_ipn", "_location")
+    located = locate_numbers(source.select(ip_to_long(ip_col).alias("_ipn")), ranges,
+                             strategy, bucket_bits)
+    joined = facts.withColumn("_ipn", ip_to_long(ip_col)).join(located, "_ipn", "left")
+    return joined.withColumn(out_col, F.col("_location")).drop("_ipn", "_location")
