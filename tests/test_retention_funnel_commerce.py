@@ -126,3 +126,32 @@ def test_url_reach_approx(spark):
     assert set(exact) <= set(approx)
     for k, v in exact.items():
         assert abs(approx[k] - v) <= 0.1 * v
+
+
+def _retention_brute(rows, days=(1, 7, 30)):
+    first = {}
+    for d, u, _ in rows:
+        if u is not None:
+            first[u] = min(first.get(u, d), d)
+    out = {}
+    for day in {d for d, _, _ in rows}:
+        todays = [(u, s) for d, u, s in rows if d == day]
+        ratios = []
+        for n in days:
+            back = sum(1 for u, _ in todays if u is not None and (day - first[u]).days == n)
+            ratios.append(back / len(todays) if back else None)
+        if any(r is not None for r in ratios):
+            out[day] = tuple(ratios)
+    return out
+
+
+def test_retention_random(spark):
+    import random
+    rnd = random.Random(5)
+    rows = sorted({(_d(rnd.randrange(40)), rnd.choice([None, "a", "b", "c", "d", "e"]), f"s{rnd.randrange(8)}")
+                   for _ in range(120)}, key=str)
+    df = spark.createDataFrame(rows, UD)
+    one = {r[0]: tuple(r[1:]) for r in retention.retention(df).collect()}
+    chain = {r["date"]: (r.d1_retention, r.d7_retention, r.d30_retention)
+             for r in retention.retention_join_chain(df).collect()}
+    assert one == chain == _retention_brute(rows)
