@@ -11,9 +11,12 @@ IPV4_RE = "^" + r"\.".join([_OCTET] * 4) + "$"
 
 
 def ip_to_long(ip) -> Column:
-    """a.b.c.d -> a*2^24 + b*2^16 + c*2^8 + d; anything else (null too) -> 0."""
+    """a.b.c.d -> a*2^24 + b*2^16 + c*2^8 + d; anything else (null too) -> 0.
+
+    One full-pattern test, then a split on the dots (no per-octet regex)."""
     c = F.col(ip) if isinstance(ip, str) else ip
+    parts = F.split(c, r"\.")
     total = F.lit(0).cast("bigint")
     for i, weight in enumerate((16777216, 65536, 256, 1)):
-        total = total + F.regexp_extract(c, IPV4_RE, i + 1).try_cast("bigint") * weight
+        total = total + F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint") * weight
     return F.when(F.coalesce(c.rlike(IPV4_RE), F.lit(False)), total).otherwise(F.lit(0).cast("bigint"))
