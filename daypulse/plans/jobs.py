@@ -32,6 +32,7 @@ class ClientOutputs:
     report_opens: str
     funnels: str
     video_playbacks: str
+    step_pairs: str | None = None  # written once, read by both funnel consumers
 
 
 def _since(df: DataFrame, since: str | None, look_back_days: int = 0) -> DataFrame:
@@ -60,7 +61,13 @@ def run_client_job(spark: SparkSession, client_path: str, geo_ranges: DataFrame,
     # Retention needs every user's first day: it reads all user-days.
     write_table(retention.retention(days), out.retention, mode="overwrite")
     write_table(funnel.open_distribution(rows), out.report_opens, mode="overwrite")
-    write_table(funnel.funnel_paths(funnel.distinct_steps(rows)), out.funnels, mode="overwrite")
+    pairs = funnel.distinct_steps(rows)
+    if out.step_pairs:
+        # The funnel reads the (user, step) pairs twice (reach, then the
+        # ordered lists): write them once so the URL parse runs once.
+        write_table(pairs, out.step_pairs, mode="overwrite")
+        pairs = spark.read.parquet(out.step_pairs)
+    write_table(funnel.funnel_paths(pairs), out.funnels, mode="overwrite")
     write_table(logs.video_playbacks(_since(rows, since)), out.video_playbacks,
                 partition_by="date", mode="overwrite")
 

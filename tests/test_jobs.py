@@ -25,7 +25,7 @@ def test_client_job(spark, tmp_dir):
     write_table(client.withColumnRenamed("app_id", "appId"), landed, partition_by="date", mode="overwrite")
     geo = fx.geo_range(fx.table(spark, SF, "nation"), fx.table(spark, SF, "region"))
     out = ClientOutputs(*[os.path.join(tmp_dir, n) for n in
-                          ("user_day", "basics", "retention", "opens", "funnels", "video")])
+                          ("user_day", "basics", "retention", "opens", "funnels", "video", "pairs")])
     run_client_job(spark, landed, geo, out)
 
     ud = user_day(client)
