@@ -61,3 +61,10 @@ def test_pushdown_and_pruning(spark):
     assert "Not(EqualTo(o_orderstatus,P))" in star
     assert "p_type" not in star and "c_acctbal" not in star  # unused columns not read
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in _plan(spark, "video_playbacks")
+
+
+def test_ip_join_back_is_keyed_by_number(spark):
+    nodes = _nodes(_plan(spark, "active_users_interval"))
+    ip_joins = [body for _, op, body in nodes if op.endswith("Join") and "_ipn" in body]
+    assert ip_joins and all("coalesce(ip" not in b and "isnull(ip" not in b for b in ip_joins)
+    assert sum(1 for _, op, _ in nodes if op == "Window") == 2
