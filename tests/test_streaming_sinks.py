@@ -175,3 +175,25 @@ def test_session_moves_to_an_earlier_day(spark, tmp_dir):
     assert snap == {"s1": D0.date(), "s2": d1.date()}
     dps = sorted((r.combined_id, r.date) for r in spark.read.parquet(paths["datapoints"]).collect())
     assert dps == [("u1", D0.date()), ("u2", d1.date())]
+
+
+def test_session_stream_on_rocksdb_state_store(spark, tmp_dir):
+    from daypulse.session import CLUSTER_CONF
+    key = "spark.sql.streaming.stateStore.providerClass"
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    _write_lines(src, "a.txt", [_client_line(_ms(D0), "u1", "s1"), _client_line(_ms(D0) + 50, "u1", "s1")])
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        q = start_session_job(ingest.client_rows(read_log_stream(spark, "text", path=src)),
+                              os.path.join(out, "s"), os.path.join(out, "d"), os.path.join(out, "c"),
+                              trigger={"availableNow": True})
+        _run(q)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+    got = [(r.combined_id, r.session_length) for r in spark.read.parquet(os.path.join(out, "d")).collect()]
+    assert got == [("u1", 50)]
