@@ -1,0 +1,136 @@
+"""SimHash: fingerprints and classes against brute force over all pairs."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import odd_docs, rows_of, with_clashes
+
+import __spark_entry__ as entry
+from daypulse.llm import simhash as sh
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_print(text, shingle):
+    low = re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    found = [" ".join(words[i:i + shingle]) for i in range(len(words) - shingle + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in found]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_classes(prints, max_bits):
+    """fp -> smallest linked fp, by all pairs."""
+    root = {p: p for p in prints}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a in prints:
+        for b in prints:
+            if bin(a ^ b).count("1") <= max_bits:
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {p: top(p) for p in prints}
+
+
+def brute(rows, shingle=3, max_bits=2):
+    prints = [brute_print(t, shingle) for _, t in rows]
+    classes = brute_classes(sorted(set(prints)), max_bits)
+    low = {}
+    for (i, _), p in zip(rows, prints):
+        if i is not None:
+            low[classes[p]] = min(i, low.get(classes[p], i))
+    return [(i, f"{p:016x}", low.get(classes[p])) for (i, _), p in zip(rows, prints)]
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    got = entry.queries()["op5_simhash_dedup"](spark, SF)
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert rows_of(got) == sorted(want, key=repr)
+    assert any(i != c for i, _, c in want)  # there are copies
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    got = sh.simhash_classes(with_clashes(docs), ["doc_id"]).selectExpr(
+        "doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
+    assert rows_of(got) == sorted(want, key=repr)
+    assert rows_of(sh.simhash_classes(docs.limit(0), ["doc_id"])) == []
+
+
+@pytest.mark.parametrize("parts,hot_rows", [(1, 10 ** 9), (2, 10 ** 9), (2, 3), (3, 10 ** 9), (3, 3)])
+def test_no_link_is_lost(spark, parts, hot_rows):
+    """Dense clusters, with keys split as hot or not: the same classes."""
+    r = random.Random(7)
+    prints = set()
+    for _ in range(25):
+        centre = r.getrandbits(64)
+        for _ in range(r.randrange(1, 30)):
+            p = centre
+            for b in r.sample(range(64), r.randrange(0, 5)):
+                p ^= 1 << b
+            prints.add(p)
+    signed = np.array(sorted(prints), np.uint64).view(np.int64).tolist()
+    links = [tuple(x) for x in sh.linked(spark.createDataFrame([(p,) for p in signed], "fp long"), 2, parts,
+                                         hot_rows).collect()]
+    root = {p: p for p in signed}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        root[y] = x
+    want = brute_classes(sorted(prints), 2)
+    same = {}
+    for p, q in zip(sorted(prints), np.array(sorted(prints), np.uint64).view(np.int64).tolist()):
+        same.setdefault(want[p], set()).add(top(q))
+    assert all(len(v) == 1 for v in same.values())
+    assert len({next(iter(v)) for v in same.values()}) == len(same)
+    assert len(links) < 40 * len(prints)
+
+
+def test_thresholds_cover_and_are_cheapest():
+    r = np.random.default_rng(3)
+    prints = r.integers(0, 2 ** 63, 500, dtype=np.int64).view(np.uint64)
+    for parts in (1, 2, 3):
+        groups = sh.group_bits(prints, parts)
+        assert sorted(b for g in groups for b in g) == list(range(64))
+        widths = [len(g) for g in groups]
+        values = sh.part_values(prints, groups)
+        hist = r.integers(0, 1000, (parts, 1 << sh.HIST_BITS))
+        counts = sh.expected(hist, widths, 2)
+        t = sh.thresholds(values, widths, counts, 2)
+        assert (t.sum(1) == 2 - parts + 1).all() and t.min() >= -1 and t.max() <= 2
+
+
+def test_deduplicate_keeps_one_row_of_each_class(spark):
+    docs = odd_docs(spark)
+    out = sh.deduplicate(docs)
+    assert out.columns == docs.columns
+    ids = sorted((r.doc_id for r in out.collect()), key=repr)
+    # 1, 2, 3 and the null row are the empty class; 6 and 7, and 10, 10, 11 are copies
+    assert ids == sorted([1, None, 4, 5, 6, 8, 9, 10], key=repr)
+    assert sh.deduplicate(docs.limit(0)).collect() == []
+
+
+def test_components_chain_and_hub(spark):
+    from daypulse.llm.components import components
+
+    links = [(i, i + 1) for i in range(100, 200)] + [(5, i) for i in range(1000, 1300)] + [(7, 7), (None, 3)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 100 for i in range(100, 201)} | {5: 5} | {i: 5 for i in range(1000, 1300)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
