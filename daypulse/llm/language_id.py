@@ -179,6 +179,22 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", label:
     return model
 
 
+def judge(texts: pa.Array, model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, scores and whether rejected, of whole texts."""
+    lang, score, out = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts), bool)
+    for at in range(0, len(texts) if model else 0, 256):
+        found = [ngram_counts(t.as_py()) for t in texts.slice(at, 256)]
+        some = [k for k, c in enumerate(found) if c is not None]
+        if some:
+            counts = np.array([found[k] for k in some])
+            cos = model.scores(counts)
+            best, where = cos.max(1), at + np.array(some)
+            lang[where] = np.array(model.languages, object)[model.owner[cos.argmax(1)]]
+            score[where] = np.clip(best, 0, 1)
+            out[where] = best < model.floor[length_bin(counts.sum(1))]
+    return lang, score, out
+
+
 def predict(docs: DataFrame, model: Model | None, keys: list[str], text: str = "text") -> DataFrame:
     """The ``keys`` columns, lang_pred, score (cosine, 0 to 1) and rejected."""
     share_code(docs.sparkSession)
@@ -188,24 +204,25 @@ def predict(docs: DataFrame, model: Model | None, keys: list[str], text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(len(keys))
-            lang, score, out = np.full(len(texts), "und", object), np.zeros(len(texts)), np.ones(len(texts), bool)
-            for at in range(0, len(texts) if model else 0, 256):
-                found = [ngram_counts(t.as_py()) for t in texts.slice(at, 256)]
-                some = [k for k, c in enumerate(found) if c is not None]
-                if some:
-                    counts = np.array([found[k] for k in some])
-                    cos = model.scores(counts)
-                    best, where = cos.max(1), at + np.array(some)
-                    lang[where] = np.array(model.languages, object)[model.owner[cos.argmax(1)]]
-                    score[where] = np.clip(best, 0, 1)
-                    out[where] = best < model.floor[length_bin(counts.sum(1))]
+            lang, score, out = judge(b.column(len(keys)), model)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(lang, pa.string()), pa.array(score), pa.array(out)],
                                              names=[*keys, "lang_pred", "score", "rejected"])
 
     return rows.mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows, whole, whose text is not rejected."""
+    share_code(docs.sparkSession)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(~judge(b.column(at), model)[2]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id) -> F.Column:
     """The fold that a fit leaves out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

@@ -103,101 +103,14 @@ class Model:
     prior: float
     threshold: float
 
-    def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, ...]:
-        a = self.text_scale[0] * odds(text, self.text) + self.text_scale[1]
-        b = self.meta_scale[0] * odds(meta, self.meta) + self.meta_scale[1]
-        both = np.clip(a + b - self.prior, -30, 30)
-        return tuple(1 / (1 + np.exp(-z)) for z in (both, np.clip(a, -30, 30), np.clip(b, -30, 30)))
-
-
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray,
-             rounds: int = 4, grow: int = 200, confident: float = 0.98, lost: float = 0.002) -> Model | None:
-    """Learn from labelled rows and a pool; every fourth labelled row is kept
-    for calibration. ``lost``: the share of good rows that the threshold may
-    reject among them."""
-    hold = np.arange(len(y)) % 4 == 3
-    if len(set(y[~hold].tolist())) < 2 or len(set(y[hold].tolist())) < 2:
-        return None
-    views = [text[~hold], meta[~hold]]
-    pools = [pool_text, pool_meta]
-    given: list[dict[int, int]] = [{}, {}]  # pool row -> label, that a view was given by the other
-    w = [logistic(v, y[~hold]) for v in views]
-    for _ in range(rounds):
-        fresh = 0
-        for a, b in ((0, 1), (1, 0)):
-            z = odds(pools[a], w[a])
-            limit = np.log(confident / (1 - confident))
-            for label, order in ((1, np.argsort(-z, kind="stable")), (0, np.argsort(z, kind="stable"))):
-                sure = [int(i) for i in order if (z[i] >= limit if label else z[i] <= -limit) and int(i) not in given[b]]
-                # in proportion to the classes, so that the prior stays
-                take = max(1, round(grow * float((y[~hold] == label).mean())))
-                given[b].update((i, label) for i in sure[:take])
-                fresh += len(sure[:take])
-        if not fresh:
-            break
-        for v in (0, 1):
-            at, got = list(given[v]), np.array(list(given[v].values()), float)
-            w[v] = logistic(np.vstack([views[v], pools[v][at]]), np.concatenate([y[~hold], got]))
-    scales = []
-    for v, x in ((0, text[hold]), (1, meta[hold])):
-        z = odds(x, w[v])
-        s = logistic(z[:, None], y[hold], ridge=0.05)
-        scales.append((max(0.0, float(s[0])), float(s[1]) if s[0] > 0 else float(np.log(y[hold].mean() / (1 - y[hold].mean())))))
-    prior = float(np.log(y[hold].mean() / (1 - y[hold].mean())))
-    model = Model(*w, *scales, prior, 0.5)
-    good = model.score(text[hold], meta[hold])[0][y[hold] == 1]
-    model.threshold = float(min(0.5, np.quantile(good, lost)))
-    return model
-
-
-def _features(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys and both views' features as float lists."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(keys)
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                s = b.slice(at, 500)
-                t = [text_features(x) for x in s.column(k).cast(pa.binary()).to_pylist()]
-                m = [meta_features(*x) for x in zip(*(s.column(k + j).to_pylist() for j in (1, 2, 3)))]
-                yield pa.RecordBatch.from_arrays([*s.columns[:k], *(pa.array([v.tolist() for v in x], pa.list_(pa.float32()))
-                                                                    for x in (t, m))], names=[*keys, "t", "m"])
-
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(keys)])
-    return rows.mapInArrow(run, f"{head}, t array<float>, m array<float>")
-
-
-def _views(docs: DataFrame, keys: list) -> DataFrame:
-    return docs.select(*keys, F.col("text").cast("string").alias("__text"), F.col("source").cast("string").alias("__source"),
-                       F.col("lang").cast("string").alias("__lang"), F.col("n_chars").cast("long").alias("__chars"))
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 3_000, **options) -> Model | None:
-    """Learn from ``labels`` (doc_id, quality 0 or 1) of ``docs``."""
-    share_code(docs.sparkSession)
-    marked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
-        (F.avg("quality") >= 0.5).cast("int").alias("y"))
-    n_marked, n_docs = marked.count(), docs.count()
-    if not n_marked or not n_docs:
-        return None
-
-    def drawn(df, n, seed):
-        return df.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) < min(1.0, sample / n) * (1 << 20))
-
-    chosen = drawn(marked, n_marked, 21)  # about `sample` rows, so it may be broadcast
-    own = docs.where("doc_id IS NOT NULL")
-    taught = _features(_views(own.join(F.broadcast(chosen), "doc_id"), ["doc_id", "y"]), ["doc_id", "y"]).toPandas()
-    pool_ids = drawn(own.select("doc_id"), n_docs, 22).distinct().join(marked, "doc_id", "left_anti")
-    pool = _features(_views(own.join(F.broadcast(pool_ids), "doc_id"), ["doc_id"]), ["doc_id"]).toPandas()
-    if taught.empty:
-        return None
-    taught, pool = (f.sort_values("doc_id", kind="stable").drop_duplicates("doc_id") for f in (taught, pool))
-
-    def matrix(f, c, dims):
-        return np.array(f[c].tolist(), np.float32).reshape(-1, dims)
-
-    return co_train(matrix(taught, "t", TEXT_DIMS), matrix(taught, "m", META_DIMS), taught["y"].to_numpy(float),
-                    matrix(pool, "t", TEXT_DIMS), matrix(pool, "m", META_DIMS), **options)
+    def judge(texts: pa.Array, sources: pa.Array, langs: pa.Array, chars: pa.Array, model: Model | None) -> np.ndarray:
+    """(3, rows): the combined, the text and the metadata score."""
+    found = np.full((3, len(texts)), 0.5)
+    for at in range(0, len(texts) if model else 0, 500):
+        t = np.array([text_features(x.as_py()) for x in texts.slice(at, 500).cast(pa.binary())])
+        m = np.array([meta_features(*x) for x in zip(*(c.slice(at, 500).to_pylist() for c in (sources, langs, chars)))])
+        found[:, at:at + 500] = model.score(t, m)
+    return found
 
 
 def score(docs: DataFrame, model: Model | None, keys: list[str]) -> DataFrame:
@@ -206,19 +119,26 @@ def score(docs: DataFrame, model: Model | None, keys: list[str]) -> DataFrame:
     share_code(docs.sparkSession)
     rows = _views(docs, [F.col(f"`{k}`") for k in keys])
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(keys)])
+    least = model.threshold if model else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(keys)
         for b in batches:
-            n = b.num_rows
-            found = np.full((3, n), 0.5)
-            for at in range(0, n if model else 0, 500):
-                s = b.slice(at, 500)
-                t = np.array([text_features(x.as_py()) for x in s.column(k).cast(pa.binary())])
-                m = np.array([meta_features(*x) for x in zip(*(s.column(k + j).to_pylist() for j in (1, 2, 3)))])
-                found[:, at:at + s.num_rows] = model.score(t, m)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:k], *(pa.array(f) for f in found), pa.array(found[0] < (model.threshold if model else 0.0))],
-                names=[*keys, "quality", "text_score", "meta_score", "rejected"])
+            found = judge(*b.columns[len(keys):], model)
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keys)], *(pa.array(f) for f in found), pa.array(found[0] < least)],
+                                             names=[*keys, "quality", "text_score", "meta_score", "rejected"])
 
     return rows.mapInArrow(run, f"{head}, quality double, text_score double, meta_score double, rejected boolean")
+
+
+def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows, whole, that are not rejected."""
+    share_code(docs.sparkSession)
+    rows = _views(docs, [F.col(f"`{c}`") for c in docs.columns])
+    n, least = len(docs.columns), model.threshold if model else 0.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept = judge(*b.columns[n:], model)[0] >= least
+            yield pa.RecordBatch.from_arrays(b.columns[:n], names=b.schema.names[:n]).filter(pa.array(kept))
+
+    return rows.mapInArrow(run, docs.schema)
