@@ -12,31 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.llm import language_id, mixing, packing, quality, simhash
-from daypulse.llm.storage import materialise, row_hash
-
-
-def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``judged`` (__id, __row, rejected) lets pass.
-    Equal rows are judged alike, so a rejected row goes with its copies."""
-    gone = materialise(judged.where("rejected").select("__id", "__row").distinct(), "rejected")
-    keyed = docs.withColumn("__row", row_hash(docs))
-    return keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (keyed["__row"] == gone["__row"]), "left_anti").drop("__row")
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"__id": F.col("doc_id"), "__row": row_hash(docs)})
+from daypulse.llm.storage import materialise
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts of a known language stay; what is like none of them goes."""
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))))
-    return _without(docs, language_id.predict(_keyed(docs), model, ["__id", "__row"]))
+    return language_id.keep_known(docs, model)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, quality.score(_keyed(docs), model, ["__id", "__row"]))
+    return quality.keep_good(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
