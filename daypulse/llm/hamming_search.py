@@ -22,7 +22,7 @@ returned; empty tables give an empty table; other columns are ignored.
 from __future__ import annotations
 
 from itertools import combinations
-from math import log2
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ def sign_code(vector: Column) -> Column:
 
 def segments(n: int) -> list[tuple[int, int]]:
     """(offset, width) of the segments for n codes."""
-    m = min(BITS, max(1, round(BITS / max(1.0, log2(max(2, n))))))
+    m = min(BITS, max(1, ceil(BITS / max(1.0, log2(max(2, n))))))
     cuts = [BITS * k // m for k in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -93,9 +93,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id",
     open_ = asked.select("qcode").distinct().withColumn("bound", F.lit(BITS))
     best, closed = None, []
     for radius in range(max(w for _, w in parts) + 1):
-        hits = _probes(open_, parts, radius).join(index, ["seg", "value"]).withColumn(
-            "d", F.bit_count(F.col("qcode").bitwiseXOR(F.col("code"))))
-        hits = hits.where("d <= bound").select("qcode", "code", "d", "low", "n").distinct()
+        probes = _probes(open_, parts, radius).alias("p")
+        near = F.bit_count(F.col("qcode").bitwiseXOR(F.col("code")))
+        # the probes are many more than the open queries that they are made from: not for a broadcast
+        hits = probes.join(index.alias("x").hint("merge"), (F.col("p.seg") == F.col("x.seg")) & (F.col("p.value") == F.col("x.value"))
+                           & (near <= F.col("bound")))
+        hits = hits.select("qcode", "code", near.alias("d"), "low", "n").distinct()
         if best is not None:
             hits = hits.unionByName(best.select("qcode", "code", "d", "low", "n")).distinct()
         best = materialise(_best(hits, k), "nearest")
