@@ -45,8 +45,8 @@ BROWSER_RULES = (
 )
 OTHER = "Other"
 
-_NET_RE = r"[ \t\n\r]*NetType/[ \t]*([^ \t\n\r]*)"
-_LANG_RE = r"[ \t\n\r]*Language/[ \t]*([^ \t\n\r]*)"
+# The tags of the two plain fields.
+NET_TAG, LANGUAGE_TAG = "NetType/", "Language/"
 
 
 def _c(col) -> Column:
@@ -61,19 +61,21 @@ def _rule_chain(ua: Column, rules, default: str) -> Column:
     return out
 
 
-def _tagged(ua: Column, regex: str, tag: str) -> Column:
-    value = F.replace(F.regexp_extract(ua, regex, 1), F.lit(tag), F.lit(""))
-    return F.when(F.coalesce(ua.rlike(regex), F.lit(False)), value).otherwise(F.lit(UNKNOWN))
+def _after(ua: Column, tag: str) -> Column:
+    """The word behind the first ``tag``, blanks skipped; unknown without one."""
+    behind = F.get(F.split(ua, tag, 2), F.lit(1))
+    word = F.get(F.split(F.ltrim(behind, F.lit(" \t")), r"\s", 2), F.lit(0))
+    return F.coalesce(word, F.lit(UNKNOWN))
 
 
 def net_type(ua) -> Column:
     """value after ``NetType/``; ``unknown`` if absent (blank trimmed)."""
-    return _tagged(_c(ua), _NET_RE, "NetType/")
+    return _after(_c(ua), NET_TAG)
 
 
 def ua_language(ua) -> Column:
     """value after ``Language/``; ``unknown`` if absent."""
-    return _tagged(_c(ua), _LANG_RE, "Language/")
+    return _after(_c(ua), LANGUAGE_TAG)
 
 
 def device(ua) -> Column:

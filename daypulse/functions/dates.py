@@ -32,6 +32,15 @@ def millis_to_date(ms, tz: str = "UTC") -> Column:
     return F.to_date(wall_utc)
 
 
+#: Epoch milliseconds of 1970-01-01 and 3000-01-01: a client clock outside is wrong.
+MILLIS_FROM, MILLIS_TO = 0, 32_503_680_000_000
+
+
+def plausible_millis(ms) -> Column:
+    """Whether an epoch-millisecond value is a day that can be stored."""
+    return F.coalesce(_c(ms).between(MILLIS_FROM, MILLIS_TO - 1), F.lit(False))
+
+
 def shift_days(date_col, n) -> Column:
     """date + n days (calendar arithmetic, DST-safe)."""
     return F.date_add(_c(date_col), n if isinstance(n, Column) else F.lit(n))

@@ -130,8 +130,8 @@ def route_of(action) -> Column:
 
 def cents_to_units(cents) -> Column:
     """P10: whole units of an integer cent amount, per row, truncating
-    toward zero (-199 -> -1). Exact: the division runs in decimal."""
-    return (_c(cents).cast("decimal(20,0)") / F.lit(100)).cast("bigint")
+    toward zero (-199 -> -1): integer division, no decimal per row."""
+    return F.call_function("div", _c(cents).cast("bigint"), F.lit(100).cast("bigint"))
 
 
 def cents_exact(total_cents) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from daypulse import schemas
 from daypulse.functions import labels
-from daypulse.functions.dates import millis_to_date
+from daypulse.functions.dates import millis_to_date, plausible_millis
 
 # Server line layout. The first 10 characters are the day,
 # the JSON body starts at character 25 (1-based); shorter lines are noise.
@@ -54,8 +54,31 @@ def parse_server_lines(lines: DataFrame, line_col: str = "line",
 
 
 def land_client_rows(raw: DataFrame, required=("t",), tz: str = "UTC") -> DataFrame:
-    """P1 + P2: drop rows missing a required field, add the calendar day."""
-    return raw.na.drop(subset=list(required)).withColumn("date", millis_to_date("t", tz))
+    """P1 + P2: drop rows missing a required field, add the calendar day. A
+    ``t`` outside the range of real days is missing too: one such row must not
+    end a stream or make a partition of its own (see :func:`rejected_client_rows`)."""
+    return (raw.na.drop(subset=list(required)).where(plausible_millis("t"))
+            .withColumn("date", millis_to_date("t", tz)))
+
+
+def rejected_client_rows(raw: DataFrame, required=("t",)) -> DataFrame:
+    """The rows that :func:`land_client_rows` drops, with the ``reason``."""
+    missing = F.lit(False)
+    for c in required:
+        missing = missing | F.col(c).isNull()
+    reason = F.when(missing, "missing field").otherwise("bad time")
+    if schemas.CORRUPT in raw.columns:
+        reason = F.when(F.col(schemas.CORRUPT).isNotNull(), "not json").otherwise(reason)
+    return raw.where(missing | ~plausible_millis("t")).withColumn("reason", reason)
+
+
+def rejected_server_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """Lines too short to hold a body, or whose body names no action, with
+    the ``reason``."""
+    short = lines.filter(F.coalesce(F.length(line_col), F.lit(0)) < SERVER_LINE_MIN_LENGTH).select(
+        line_col, F.lit("short line").alias("reason"))
+    parsed = parse_server_lines(lines, line_col, keep=[line_col])
+    return short.unionByName(parsed.filter(F.col("actionType").isNull()).select(line_col, F.lit("no action").alias("reason")))
 
 
 def with_route(server_rows: DataFrame, action_col: str = "actionType") -> DataFrame:

@@ -62,8 +62,10 @@ def _rx(x: str, pattern: str) -> str:
 
 
 def _ua(x: str) -> str:
-    net = r"[ \t\n\r]*NetType/[ \t]*([^ \t\n\r]*)"
-    lang = r"[ \t\n\r]*Language/[ \t]*([^ \t\n\r]*)"
+    def after(tag):
+        word = f"string_split(string_split(replace(replace(replace({x}, chr(9), ' '), chr(10), ' '), chr(13), ' '), '{tag}')[2] || ' ', ' ')[1]"
+        return f"CASE WHEN contains({x}, '{tag}') THEN {word} ELSE 'unknown' END"
+
     android = r"Android [0-9.]+; ([^;)]+)"
     os = (f"CASE WHEN {_rx(x, '(?:iPhone|CPU) OS ')} THEN 'iOS' WHEN {_rx(x, 'Android')} THEN 'Android' "
           f"WHEN {_rx(x, 'Windows NT')} THEN 'Windows' WHEN {_rx(x, 'Mac OS X')} THEN 'Mac OS X' "
@@ -78,8 +80,8 @@ def _ua(x: str) -> str:
          WHEN {_rx(x, android)} THEN regexp_extract({x}, '{android}', 1) ELSE 'Unknown device' END AS device,
     {os} AS os,
     {os} || ' ' || {major} AS os_version,
-    CASE WHEN {_rx(x, lang)} THEN replace(regexp_extract({x}, '{lang}', 1), 'Language/', '') ELSE 'unknown' END AS language,
-    CASE WHEN {_rx(x, net)} THEN replace(regexp_extract({x}, '{net}', 1), 'NetType/', '') ELSE 'unknown' END AS network,
+    {after('Language/')} AS language,
+    {after('NetType/')} AS network,
     CASE WHEN {_rx(x, 'MicroMessenger/')} THEN 'WeChat' WHEN {_rx(x, 'Edge?/')} THEN 'Edge'
          WHEN {_rx(x, 'Chrome/')} THEN 'Chrome' WHEN {_rx(x, 'Firefox/')} THEN 'Firefox'
          WHEN {_rx(x, 'Safari/')} THEN 'Safari' WHEN {_rx(x, 'curl/')} THEN 'curl'

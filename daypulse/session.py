@@ -82,14 +82,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
-    if _is_local(spark):
-        return ensure_checkpoint_dir(spark)
     raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
                        "(e.g. an hdfs:// or s3a:// folder) to run this job on a cluster")
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -27,6 +27,16 @@ def write_table(df: DataFrame, target: str, partition_by=None, mode: str = "appe
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if _is_path(target):
         writer.save(target)
+    elif mode == "overwrite" and partition_by and df.sparkSession.catalog.tableExists(target):
+        # saveAsTable would replace the whole table; insertInto replaces the partitions it brings
+        spark = df.sparkSession
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        finally:
+            spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
     else:
         writer.saveAsTable(target)
 
@@ -43,8 +53,10 @@ def path_exists(spark: SparkSession, target: str) -> bool:
     try:
         spark.read.parquet(target).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def drop_target(spark: SparkSession, target: str) -> None:

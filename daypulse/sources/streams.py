@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 def read_log_stream(spark: SparkSession, source: str = "kafka", *, topic: str | None = None,
                     servers: str | None = None, path: str | None = None,
                     from_start: bool = False, group_id: str | None = None,
-                    max_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+                    max_per_trigger: int | None = None, fail_on_data_loss: bool = True,
+                    options: dict | None = None) -> DataFrame:
     """S1 + S2: a streaming frame with one string column ``value``.
 
     ``from_start`` (the replay switch) reads from the earliest offsets;
-    otherwise only new data. Keys and Kafka metadata are dropped.
+    otherwise only new data. ``fail_on_data_loss=False`` lets the query go on
+    when offsets have expired before they were read (those rows are lost). Keys and Kafka metadata are dropped.
     Credentials and other client settings go through ``options``.
     """
     if source == "kafka":
@@ -26,7 +28,7 @@ def read_log_stream(spark: SparkSession, source: str = "kafka", *, topic: str |
                   .option("kafka.bootstrap.servers", servers)
                   .option("subscribe", topic)
                   .option("startingOffsets", "earliest" if from_start else "latest")
-                  .option("failOnDataLoss", "false"))
+                  .option("failOnDataLoss", str(fail_on_data_loss).lower()))
         if group_id:
             reader = reader.option("kafka.group.id", group_id)
         if max_per_trigger:

@@ -3,9 +3,14 @@
 Two streaming queries run side by side. Each micro-batch is parsed with an
 explicit schema (no inference pass), persisted once, and fanned out to its
 tables inside **one** ``foreachBatch``; every write is partitioned by
-``date`` and ``_batch_id`` with dynamic partition overwrite, so a batch
-replayed after a failure rewrites exactly the partitions it wrote before
-(idempotent), and empty batches write nothing.
+``date``, ``_run_id`` and ``_batch_id`` with dynamic partition overwrite, so a
+batch replayed after a failure rewrites exactly the partitions it wrote before
+(idempotent), and empty batches write nothing. Batch ids restart with every
+new checkpoint; the run id is the query id kept in the checkpoint, so a new
+checkpoint adds to what an earlier one landed.
+
+Rows that cannot be landed (not JSON, no or no plausible time, no action) go
+to the quarantine table with the line and a reason, if one is named.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from daypulse.functions.labels import ROUTES
 from daypulse.operators import logs
 from daypulse.sinks.tables import write_table
 
-BATCH_COL = "_batch_id"
+BATCH_COL, RUN_COL = "_batch_id", "_run_id"
 
 
 def client_rows(lines: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -36,17 +41,23 @@ def server_rows(lines: DataFrame) -> DataFrame:
     return logs.parse_server_lines(lines, "value")
 
 
-def write_batch(batch: DataFrame, batch_id: int, target: str,
-                also_table: str | None = None) -> None:
+def current_run(spark) -> str:
+    """The running stream's query id (it stays with its checkpoint)."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def write_batch(batch: DataFrame, batch_id: int, target: str, also_table: str | None = None,
+                run_id: str | None = None, partition_by=("date",)) -> None:
     """Write one micro-batch, idempotently (dynamic overwrite of its own
-    ``(date, _batch_id)`` partitions). K9: ``also_table`` writes the same
-    rows to a second target (e.g. a catalog table next to the files)."""
-    rows = batch.withColumn(BATCH_COL, F.lit(batch_id))
+    ``(date, _run_id, _batch_id)`` partitions). K9: ``also_table`` writes the
+    same rows to a second target (e.g. a catalog table next to the files)."""
+    rows = batch.withColumn(RUN_COL, F.lit(run_id or current_run(batch.sparkSession))).withColumn(
+        BATCH_COL, F.lit(batch_id))
     if also_table:
         rows = rows.persist()  # parsed once, written twice
     try:
         for t in [target] + ([also_table] if also_table else []):
-            write_table(rows, t, partition_by=["date", BATCH_COL], mode="overwrite")
+            write_table(rows, t, partition_by=[*partition_by, RUN_COL, BATCH_COL], mode="overwrite")
     finally:
         if also_table:
             rows.unpersist()
@@ -74,7 +85,8 @@ def keep_one(rows: DataFrame, keys) -> DataFrame:
 
 
 def fan_out(batch: DataFrame, batch_id: int, targets: dict[str, str],
-            action_col: str = "actionType", dedup_scope: str | None = None) -> None:
+            action_col: str = "actionType", dedup_scope: str | None = None,
+            run_id: str | None = None) -> None:
     """K7: one parsed batch -> one table per route (rows of no route are
     dropped, as the reference's filters drop them). ``dedup_scope="batch"``
     keeps one payment per purchase and one refund per (purchase, action)
@@ -86,7 +98,7 @@ def fan_out(batch: DataFrame, batch_id: int, targets: dict[str, str],
             routed = batch.filter(F.col(action_col).isin(*ROUTES[name]))
             if dedup_scope == "batch" and name in DEDUP_KEYS:
                 routed = keep_one(routed, DEDUP_KEYS[name])
-            write_batch(routed, batch_id, target)
+            write_batch(routed, batch_id, target, run_id=run_id)
     finally:
         batch.unpersist()
 
@@ -98,12 +110,41 @@ class IngestTargets:
     refund: str
     student: str
     signup: str
+    quarantine: str | None = None
+    client_table: str | None = None  # K9: the client rows once more, as a catalog table
 
     def server_routes(self) -> dict[str, str]:
         return {"payment": self.payment, "refund": self.refund,
                 "student": self.student, "signup": self.signup}
 
 
+def _quarantine(rejected: DataFrame, stream: str, batch_id: int, target: str) -> None:
+    write_batch(rejected.select("value", "reason", F.lit(stream).alias("stream")), batch_id, target, partition_by=("stream",))
+
+
+def land_client(lines: DataFrame, batch_id: int, targets: IngestTargets, tz: str = "UTC") -> None:
+    """One micro-batch of client lines: landed, and the rest quarantined."""
+    lines = lines.persist()
+    try:
+        write_batch(client_rows(lines, tz), batch_id, targets.client, targets.client_table)
+        if targets.quarantine:
+            parsed = logs.parse_json(lines, "value", schemas.CLIENT_LOG, keep=["value"])
+            _quarantine(logs.rejected_client_rows(parsed), "client", batch_id, targets.quarantine)
+    finally:
+        lines.unpersist()
+
+
+def land_server(lines: DataFrame, batch_id: int, targets: IngestTargets) -> None:
+    """One micro-batch of server lines: routed, and the rest quarantined."""
+    lines = lines.persist()
+    try:
+        fan_out(server_rows(lines), batch_id, targets.server_routes())
+        if targets.quarantine:
+            _quarantine(logs.rejected_server_lines(lines), "server", batch_id, targets.quarantine)
+    finally:
+        lines.unpersist()
+
+
 def start_ingest(client_lines: DataFrame, server_lines: DataFrame, targets: IngestTargets,
                  checkpoint_root: str, trigger: dict | None = None,
                  tz: str = "UTC") -> tuple[StreamingQuery, StreamingQuery]:
@@ -112,14 +153,14 @@ def start_ingest(client_lines: DataFrame, server_lines: DataFrame, targets: Inge
     ``{"availableNow": True}``. Each query has its own checkpoint (T2), so a
     restart resumes from the last committed offsets."""
     trig = trigger or {"processingTime": "3600 seconds"}
-    client_q = (client_rows(client_lines, tz).writeStream
+    client_q = (client_lines.writeStream
                 .queryName("land_client")
                 .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/client")
-                .foreachBatch(lambda df, bid: write_batch(df, bid, targets.client))
+                .foreachBatch(lambda df, bid: land_client(df, bid, targets, tz))
                 .trigger(**trig).start())
-    server_q = (server_rows(server_lines).writeStream
+    server_q = (server_lines.writeStream
                 .queryName("land_server")
                 .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/server")
-                .foreachBatch(lambda df, bid: fan_out(df, bid, targets.server_routes()))
+                .foreachBatch(lambda df, bid: land_server(df, bid, targets))
                 .trigger(**trig).start())
     return client_q, server_q

@@ -92,10 +92,47 @@ def test_ingest_fan_out(spark, tmp_dir):
     assert counts == {"payment": 1, "refund": 1, "student": 1, "signup": 1}
     pay = spark.read.parquet(targets.payment).collect()[0]
     assert (pay.date, pay.purchaseNumber, pay._batch_id) == (dt.date(2024, 1, 2), "p1", 0)
-    # replaying batch 0 rewrites the same partitions: no duplicates
+    # replaying batch 0 of the run rewrites the same partitions: no duplicates
     batch = ingest.server_rows(spark.read.text(ssrc))
-    ingest.fan_out(batch, 0, targets.server_routes())
+    ingest.fan_out(batch, 0, targets.server_routes(), run_id=pay._run_id)
     assert spark.read.parquet(targets.payment).count() == 1
+    # batch 0 of another run (a new checkpoint) adds rows and removes none
+    ingest.fan_out(batch, 0, targets.server_routes(), run_id="other")
+    assert spark.read.parquet(targets.payment).count() == 2
+
+
+def test_poison_rows_are_quarantined_and_new_checkpoint_adds(spark, tmp_dir):
+    csrc, ssrc = os.path.join(tmp_dir, "c"), os.path.join(tmp_dir, "s")
+    os.makedirs(csrc)
+    os.makedirs(ssrc)
+    _write_lines(csrc, "1.txt", [_client_line(_ms(D0), "u1", "s1"), _client_line(9223372036854775807, "u1", "s2"),
+                                 _client_line(-5, "u1", "s3"), "not json", '{"uid": "no-t"}'])
+    _write_lines(ssrc, "1.txt", ["too short", '2024-01-02 00:00:00.000 {"actionType":"pay","purchaseNumber":"p1"}',
+                                 "2024-01-02 00:00:00.000 not json at all", '2024-01-02 00:00:00.000 {"actionType":"other"}'])
+    spark.sql("DROP TABLE IF EXISTS landed_client")
+    targets = ingest.IngestTargets(*[os.path.join(tmp_dir, "t", n) for n in
+                                     ("client", "payment", "refund", "student", "signup", "quarantine")], "landed_client")
+    for ckpt in ("ckpt", "again"):
+        for q in ingest.start_ingest(read_log_stream(spark, "text", path=csrc), read_log_stream(spark, "text", path=ssrc),
+                                     targets, os.path.join(tmp_dir, ckpt), trigger={"availableNow": True}):
+            _run(q)
+    reasons = sorted(tuple(r) for r in spark.read.parquet(targets.quarantine).groupBy("stream", "reason").count().collect())
+    assert reasons == [("client", "bad time", 4), ("client", "missing field", 2), ("client", "not json", 2),
+                       ("server", "no action", 2), ("server", "short line", 2)]
+    # two checkpoints, two runs of one good row each, in the files and in the table (K9)
+    assert spark.read.parquet(targets.client).count() == spark.table("landed_client").count() == 2
+    assert spark.read.parquet(targets.payment).count() == 2
+    spark.sql("DROP TABLE landed_client")
+
+
+def test_catalog_overwrite_keeps_other_days(spark):
+    df = spark.createDataFrame([(1, "a", dt.date(2024, 1, 1)), (2, "b", dt.date(2024, 1, 2))], "v int, k string, date date")
+    spark.sql("DROP TABLE IF EXISTS two_days")
+    write_table(df.filter("v = 1"), "two_days", "date", "overwrite")
+    write_table(df.filter("v = 2").select("date", "v", "k"), "two_days", "date", "overwrite")
+    write_table(df.filter("v = 2").withColumn("k", F.lit("c")), "two_days", "date", "overwrite")
+    assert sorted((r.v, r.k) for r in spark.table("two_days").collect()) == [(1, "a"), (2, "c")]
+    spark.sql("DROP TABLE two_days")
 
 
 def test_sinks_round_trip(spark, tmp_dir):
