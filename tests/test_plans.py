@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from daypulse.plans import queries as core
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +20,7 @@ def _plan(spark, name, mode="formatted"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(core.queries()))
 def test_no_python_and_no_unbounded_nested_loops(spark, name):
     plan = _plan(spark, name)
     assert "EvalPython" not in plan and "PythonUDF" not in plan

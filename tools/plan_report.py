@@ -41,7 +41,7 @@ def main():
     ap.add_argument("--out", default="PLANS.md")
     args = ap.parse_args()
 
-    import __spark_entry__ as entry
+    from daypulse.plans import queries as core
     from daypulse.session import local_session
 
     spark = local_session(8)
@@ -53,7 +53,7 @@ def main():
              "(with skew splitting) for unbounded sides.", "",
              "| query | shuffles | broadcasts | joins | aggregates | windows | generate | scans | pushed filters |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
-    for name, fn in sorted(entry.queries().items()):
+    for name, fn in sorted(core.queries().items()):
         df = fn(spark, args.sf_dir)
         df.write.format("noop").mode("overwrite").save()
         buf = io.StringIO()
