@@ -1,82 +1,100 @@
-"""Stateful session job (T3-T6): sessions by ``_id`` and daily datapoints.
-
-* T3 — one streaming aggregation keyed by ``_id`` (the same expressions as
-  the batch :func:`daypulse.operators.sessions.session_aggs`), update
-  mode, state in the state store (RocksDB provider on a cluster).
-* T4/T5 — Spark refuses a second stateful aggregation after it in update
-  mode, so the rest happens in ``foreachBatch``: the touched sessions
-  replace their old rows in the ``date``-partitioned sessions table, and
-  the datapoints of exactly those days are recomputed from the merged
-  rows. A session touched in two batches is therefore counted once, with
-  its full length (the reference added it twice).
-
-Every batch rewrites whole ``date`` partitions with dynamic partition
-overwrite: replaying a batch after a failure gives the same tables. Late
-data can move a session's first day earlier; the old row is found because
-the state also keeps the session's last day. (A day whose *only* session
-moves away keeps that row: dynamic overwrite leaves partitions without new
-rows untouched.)
-The batch-side functions define the semantics; the stream must equal
-``sessions_table`` of all rows read so far.
+"""Session stream (T3-T6): an append-only log of mergeable session states.
+
+Every micro-batch is reduced to one state per session id that it touches and
+written to the log under its own ``(_run_id, _batch_id)`` partition; a replayed
+batch rewrites exactly that partition, a new checkpoint (a new run id) adds its
+own, and no batch reads or rewrites what an earlier one stored. A visitor who
+returns after a year costs one row.
+
+States of one session merge by minima and maxima (:func:`merge_states`), so the
+order, the number and even repeats of versions do not matter. Hence:
+
+* ``state="log"`` (default) aggregates each batch by itself: the stream holds
+  no state, the log is the state.
+* ``state="store"`` keeps the running state in the state store (RocksDB on a
+  cluster), and each logged row is the session's full state so far. The store
+  has no timeout and grows with the number of session ids.
+
+The tables the BI reads are derived from the merged log: sessions
+(:func:`current_sessions`) and the five-column datapoints with the first-seen
+day (:func:`sessions_snapshot`, T4, T5, J5, A17), equal to the batch
+definition ``sessions_table`` of all rows read so far, also when late data moves
+a session to another day or names an anonymous visitor. :func:`compact` folds
+the log into one row per session.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from daypulse.operators.sessions import REQUIRED, session_aggs, session_datapoints
-from daypulse.session import checkpoint_dir
-from daypulse.sinks.tables import path_exists, write_table
+from daypulse.operators.sessions import REQUIRED, session_datapoints, sessions_with_age
+from daypulse.sinks.tables import read_table, write_table
+from daypulse.streaming.ingest import write_batch
 
-SESSION_COLS = ("_id", "uid", "date", "start_t", "end_t")
+STATE_COLS = ("_id", "known", "date", "start_t", "end_t")
 
 
 def session_states(client_rows: DataFrame) -> DataFrame:
-    """T3 on a stream (or batch): current state of each session id, plus
-    ``last_date`` (the session's latest day) so that a row stored under an
-    older first day can be found again when late data moves it earlier."""
-    return (client_rows.na.drop(subset=list(REQUIRED)).groupBy("_id")
-            .agg(*session_aggs(), F.max("date").alias("last_date")))
-
-
-def merge_sessions(states: DataFrame, batch_id: int, sessions_path: str,
-                   datapoints_path: str) -> None:
-    """foreachBatch body: upsert touched sessions, recompute their days."""
-    spark = states.sparkSession
-    checkpoint_dir(spark)  # shared folder from spark.checkpoint.dir
-    states = states.persist()
-    try:
-        # Days to rewrite: each touched session's first..last day (its stored
-        # row, if any, has a first day in that range). A short, bounded list.
-        span = F.explode(F.sequence("date", F.coalesce("last_date", "date"))).alias("day")
-        days = [r["day"] for r in states.select(span).distinct().collect()]
-        if not days:
-            return
-        states = states.select(*SESSION_COLS)
-        merged = states
-        if path_exists(spark, sessions_path):
-            current = (spark.read.parquet(sessions_path)
-                       .filter(F.col("date").isin(days)).select(*SESSION_COLS))
-            merged = current.join(states.select("_id"), "_id", "left_anti").unionByName(states)
-        # Reliable checkpoint: the partitions read above are overwritten next.
-        merged = merged.checkpoint(eager=True)
-        write_table(merged, sessions_path, partition_by="date", mode="overwrite")
-        write_table(session_datapoints(merged), datapoints_path, partition_by="date",
-                    mode="overwrite")
-    finally:
-        states.unpersist()
-
-
-def start_session_job(client_rows: DataFrame, sessions_path: str, datapoints_path: str,
-                      checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Start the session stream. ``client_rows`` is a landed client stream
+    """T3 on a stream or batch: one state per session id. ``known`` is the
+    first non-empty uid with its time, null for an anonymous session."""
+    rows = client_rows.na.drop(subset=list(REQUIRED)).select(
+        "_id", F.when(F.col("uid") != "", F.struct("t", "uid")).alias("known"), "date",
+        F.col("t").alias("start_t"), F.col("t").alias("end_t"))
+    return merge_states(rows)
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per session id of any number of states (or rows) of it."""
+    return states.groupBy("_id").agg(F.min("known").alias("known"), F.min("date").alias("date"),
+                                     F.min("start_t").alias("start_t"), F.max("end_t").alias("end_t"))
+
+
+def _merged(spark: SparkSession, logs: tuple[str, ...]) -> DataFrame:
+    rows = [read_table(spark, log).select(*STATE_COLS) for log in logs]
+    return merge_states(reduce(DataFrame.unionByName, rows))
+
+
+def current_sessions(spark: SparkSession, *logs: str) -> DataFrame:
+    """The sessions of one or more logs, as ``session_rollup`` gives them. A
+    log and its compacted copy may both be named."""
+    return _merged(spark, logs).select("_id", F.coalesce(F.col("known.uid"), F.lit("")).alias("uid"), "date", "start_t",
+                                     "end_t")
+
+
+def sessions_snapshot(spark: SparkSession, *logs: str) -> DataFrame:
+    """T4 + T5 + A17 of the stream: the sessions table (``schemas.SESSIONS``)."""
+    return sessions_with_age(session_datapoints(current_sessions(spark, *logs)))
+
+
+def compact(spark: SparkSession, target: str, *logs: str) -> None:
+    """Fold logs into a new log of one row per session. A failed run may be
+    repeated; the logs stay as they are (merging one twice changes nothing), so
+    their covered partitions can be dropped at any later time."""
+    if target in logs:
+        raise ValueError("compact into a new log, not into one that is read")
+    write_table(_merged(spark, logs), target, mode="overwrite")
+
+
+def start_session_job(client_rows: DataFrame, log: str, checkpoint: str, trigger: dict | None = None,
+                      state: str = "log") -> StreamingQuery:
+    """Start the session stream into ``log`` (a path or catalog table).
+    ``client_rows`` is a landed client stream
     (see :func:`daypulse.streaming.ingest.client_rows`)."""
-    trig = trigger or {"processingTime": "3600 seconds"}
-    return (session_states(client_rows).writeStream
+    if state not in ("log", "store"):
+        raise ValueError("state: 'log' or 'store'")
+    rows = session_states(client_rows) if state == "store" else client_rows
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = batch if state == "store" else session_states(batch)
+        write_batch(found.select(*STATE_COLS), batch_id, log, partition_by=())
+
+    return (rows.writeStream
             .queryName("sessions")
             .outputMode("update")
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: merge_sessions(df, bid, sessions_path, datapoints_path))
-            .trigger(**trig).start())
+            .foreachBatch(write)
+            .trigger(**(trigger or {"processingTime": "3600 seconds"})).start())

@@ -5,6 +5,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from daypulse import schemas
@@ -13,7 +14,7 @@ from daypulse.sinks.tables import path_exists, read_table, to_json_rows, write_a
 from daypulse.sources.streams import read_log_stream
 from daypulse.sources.tables import empty_table, load_or_build_geo, scan
 from daypulse.streaming import ingest
-from daypulse.streaming.sessions import start_session_job
+from daypulse.streaming.sessions import compact, current_sessions, session_states, sessions_snapshot, start_session_job
 
 D0 = dt.datetime(2024, 1, 1)
 
@@ -39,37 +40,78 @@ def _run(q):
     assert q.exception() is None
 
 
+def _session_stream(spark, src, log, ckpt, **options):
+    lines = read_log_stream(spark, "text", path=src, **options)
+    _run(start_session_job(ingest.client_rows(lines), log, ckpt, trigger={"availableNow": True}))
+
+
+def _assert_snapshot(spark, logs, lines):
+    """The tables derived from the log equal the batch definition of all lines."""
+    rows = ingest.client_rows(spark.createDataFrame([(x,) for x in lines], "value string"))
+    for got, expect in ((sessions_snapshot(spark, *logs), sessions.sessions_table(rows)),
+                        (current_sessions(spark, *logs), sessions.session_rollup(rows))):
+        assert set(got.columns) == set(expect.columns)
+        assert sorted(map(tuple, got.select(*expect.columns).collect())) == sorted(map(tuple, expect.collect()))
+
+
 def test_session_stream_equals_batch_across_restart(spark, tmp_dir):
-    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    src, log, ckpt = (os.path.join(tmp_dir, n) for n in ("in", "log", "ckpt"))
     os.makedirs(src)
     batch1 = [_client_line(_ms(D0), "", "s1"), _client_line(_ms(D0) + 60, "", "s1"),
               _client_line(_ms(D0) + 5, "u9", "s2"), _client_line(_ms(D0) + 7, None, "s3")]
     batch2 = [_client_line(_ms(D0) + 120, "u1", "s1"),  # late uid, same session
               _client_line(_ms(D0 + dt.timedelta(days=1)), "u9", "s4")]
     batch3 = [_client_line(_ms(D0 + dt.timedelta(days=2)), "u1", "s5"), "not json"]
-    paths = {k: os.path.join(out, k) for k in ("sessions", "datapoints", "ckpt")}
-
-    def run_once():
-        lines = read_log_stream(spark, "text", path=src, max_per_trigger=1)
-        q = start_session_job(ingest.client_rows(lines), paths["sessions"], paths["datapoints"],
-                              paths["ckpt"], trigger={"availableNow": True})
-        _run(q)
-
     _write_lines(src, "a.txt", batch1)
+    _session_stream(spark, src, log, ckpt)
+    assert [r.combined_id for r in sessions_snapshot(spark, log).collect() if r.combined_id != "u9"] == ["tmp_s1"]
     _write_lines(src, "b.txt", batch2)
-    run_once()
-    dps = {(r.combined_id, r.date): r for r in spark.read.parquet(paths["datapoints"]).collect()}
-    # the session touched in two batches counts once, with its full length
+    _session_stream(spark, src, log, ckpt)
+    # the session touched in two batches counts once, with its full length, under its late name
+    dps = {(r.combined_id, r.date): r for r in sessions_snapshot(spark, log).collect()}
     assert (dps[("u1", D0.date())].session_length, dps[("u1", D0.date())].session_count) == (120, 1)
     _write_lines(src, "c.txt", batch3)
-    run_once()  # restart on the same checkpoint: only the new file is read
+    _session_stream(spark, src, log, ckpt)  # restart on the same checkpoint: only the new file is read
+    _assert_snapshot(spark, [log], batch1 + batch2 + batch3)
+    # a second checkpoint reads all lines again, as a run of its own: nothing counts twice
+    _session_stream(spark, src, log, os.path.join(tmp_dir, "again"), max_per_trigger=1)
+    assert spark.read.parquet(log).select("_run_id").distinct().count() == 2
+    _assert_snapshot(spark, [log], batch1 + batch2 + batch3)
+    folded = os.path.join(tmp_dir, "folded")
+    compact(spark, folded, log)
+    assert spark.read.parquet(folded).count() == 4
+    _assert_snapshot(spark, [folded], batch1 + batch2 + batch3)
+    _assert_snapshot(spark, [folded, log], batch1 + batch2 + batch3)
+    with pytest.raises(ValueError):
+        compact(spark, log, log)
+
+
+def test_session_batches_touch_only_their_own_rows(spark, tmp_dir):
+    src, log, ckpt = (os.path.join(tmp_dir, n) for n in ("in", "log", "ckpt"))
+    os.makedirs(src)
+    late = D0 + dt.timedelta(days=400)
+    batch1 = [_client_line(_ms(D0), "u1", "s1")] + [_client_line(_ms(D0) + i, f"u{i}", f"x{i}") for i in range(2, 40)]
+    batch2 = [_client_line(_ms(late), "u1", "s1"), _client_line(_ms(late) + 1, "u1", "s9")]
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+                for d, _, names in os.walk(log) for f in names if f.endswith(".parquet")}
 
-    all_lines = spark.createDataFrame([(x,) for x in batch1 + batch2 + batch3], "value string")
-    expect = sessions.session_datapoints(sessions.session_rollup(ingest.client_rows(all_lines)))
-    got = spark.read.parquet(paths["datapoints"]).select(*expect.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
-    snap = spark.read.parquet(paths["sessions"])
-    assert snap.count() == snap.select("_id").distinct().count() == 4
+    _write_lines(src, "a.txt", batch1)
+    _session_stream(spark, src, log, ckpt)
+    before = files()
+    _write_lines(src, "b.txt", batch2)
+    _session_stream(spark, src, log, ckpt)
+    after = files()
+    assert {f: t for f, t in after.items() if f in before} == before
+    assert spark.read.parquet(log).where("_batch_id = 1").count() == 2
+    _assert_snapshot(spark, [log], batch1 + batch2)
+    # a replay of batch 1 rewrites its own partition only
+    run = spark.read.parquet(log).first()._run_id
+    rows = ingest.client_rows(spark.createDataFrame([(x,) for x in batch2], "value string"))
+    ingest.write_batch(session_states(rows), 1, log, run_id=run, partition_by=())
+    assert spark.read.parquet(log).count() == 41
+    _assert_snapshot(spark, [log], batch1 + batch2)
 
 
 def test_ingest_fan_out(spark, tmp_dir):
@@ -194,37 +236,33 @@ def test_batch_scope_dedup_and_preview(spark, tmp_dir):
 
 
 def test_session_moves_to_an_earlier_day(spark, tmp_dir):
-    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    src, log, ckpt = (os.path.join(tmp_dir, n) for n in ("in", "log", "ckpt"))
     os.makedirs(src)
     d1 = D0 + dt.timedelta(days=1)
-    paths = {k: os.path.join(out, k) for k in ("sessions", "datapoints", "ckpt")}
-
-    def run_once():
-        lines = read_log_stream(spark, "text", path=src)
-        _run(start_session_job(ingest.client_rows(lines), paths["sessions"], paths["datapoints"],
-                               paths["ckpt"], trigger={"availableNow": True}))
-
-    _write_lines(src, "a.txt", [_client_line(_ms(d1), "u1", "s1"), _client_line(_ms(d1) + 9, "u2", "s2")])
-    run_once()
-    _write_lines(src, "b.txt", [_client_line(_ms(d1) - 1000, "u1", "s1")])  # late: day before
-    run_once()
-    snap = {r._id: r.date for r in spark.read.parquet(paths["sessions"]).collect()}
-    assert snap == {"s1": D0.date(), "s2": d1.date()}
-    dps = sorted((r.combined_id, r.date) for r in spark.read.parquet(paths["datapoints"]).collect())
-    assert dps == [("u1", D0.date()), ("u2", d1.date())]
+    first = [_client_line(_ms(d1), "u1", "s1")]
+    late = [_client_line(_ms(d1) - 1000, "u1", "s1")]  # the day before; d1 is left without a session
+    _write_lines(src, "a.txt", first)
+    _session_stream(spark, src, log, ckpt)
+    _assert_snapshot(spark, [log], first)
+    _write_lines(src, "b.txt", late)
+    _session_stream(spark, src, log, ckpt)
+    assert [(r._id, r.date) for r in current_sessions(spark, log).collect()] == [("s1", D0.date())]
+    _assert_snapshot(spark, [log], first + late)
 
 
 def test_session_stream_on_rocksdb_state_store(spark, tmp_dir):
     from daypulse.session import CLUSTER_CONF
     key = "spark.sql.streaming.stateStore.providerClass"
-    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    src, log = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "log")
     os.makedirs(src)
-    _write_lines(src, "a.txt", [_client_line(_ms(D0), "u1", "s1"), _client_line(_ms(D0) + 50, "u1", "s1")])
+    lines = [_client_line(_ms(D0), "u1", "s1"), _client_line(_ms(D0) + 50, "u1", "s1")]
+    for n, line in enumerate(lines):
+        _write_lines(src, f"{n}.txt", [line])
     before = spark.conf.get(key, None)
     spark.conf.set(key, CLUSTER_CONF[key])
     try:
-        q = start_session_job(ingest.client_rows(read_log_stream(spark, "text", path=src)),
-                              os.path.join(out, "s"), os.path.join(out, "d"), os.path.join(out, "c"),
+        stream = read_log_stream(spark, "text", path=src, max_per_trigger=1)
+        q = start_session_job(ingest.client_rows(stream), log, os.path.join(tmp_dir, "c"), state="store",
                               trigger={"availableNow": True})
         _run(q)
     finally:
@@ -232,5 +270,7 @@ def test_session_stream_on_rocksdb_state_store(spark, tmp_dir):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
-    got = [(r.combined_id, r.session_length) for r in spark.read.parquet(os.path.join(out, "d")).collect()]
-    assert got == [("u1", 50)]
+    # the store carries the state over: the second logged row is the whole session
+    last = spark.read.parquet(log).where("_batch_id = 1").collect()
+    assert [(r._id, r.end_t - r.start_t) for r in last] == [("s1", 50)]
+    _assert_snapshot(spark, [log], lines)
