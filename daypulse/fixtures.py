@@ -2,7 +2,7 @@
 
 Each adapter exists twice: as DataFrame code (what the Spark queries read)
 and as SQL text (the DuckDB oracles open with it as a CTE). FIXTURES.md is
-the specification of both; ``tests/test_fixtures.py`` checks they agree.
+the specification of both; the oracle checks compare them through the queries.
 """
 
 from __future__ import annotations
@@ -89,6 +89,10 @@ def _cents(c: Column) -> Column:
     return F.round(c * 100).cast("bigint")
 
 
+#: A total order of the payment rows of one purchase (the test table's own keys).
+PAYMENT_ORDER = ("date", "line_no", "part_key", "supp_key")
+
+
 def payment(lineitem: DataFrame) -> DataFrame:
     ln = F.col("l_linenumber")
     channel = (F.when(ln == 1, 2).when(ln == 2, 43).when(ln == 3, 4).when(ln == 4, 30)
@@ -142,6 +146,27 @@ def geo_range(nation: DataFrame, region: DataFrame) -> DataFrame:
                     F.col("r_name").alias("country"), F.col("n_name").alias("local_city")))
 
 
+def class_relation_tables(load) -> list[DataFrame]:
+    """The seven tables of J6 (``load(name)`` reads a test table): class_info,
+    course, class_grade, grade, subject, class_teacher, user."""
+    orders, customer = load("orders"), load("customer")
+    return [
+        orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
+                      F.concat(F.lit("-"), _s(F.col("o_orderkey") % 1000)).alias("open_code"),
+                      F.col("o_custkey").alias("course_id"),
+                      (F.col("o_orderstatus") == "P").cast("int").alias("is_del")),
+        customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                        F.col("c_nationkey").alias("subject_id"), (2000 + F.col("c_custkey") % 20).alias("year"),
+                        F.col("c_mktsegment").alias("season")),
+        load("lineitem").select(F.col("l_orderkey").alias("class_id"), F.col("l_partkey").alias("grade_id")),
+        load("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")),
+        load("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")),
+        orders.select(F.col("o_orderkey").alias("class_id"), (F.col("o_orderkey") % 10).alias("teacher_usr_id")),
+        load("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                                F.concat(F.lit("+"), _s(F.col("s_nationkey"))).alias("mobile")),
+    ]
+
+
 # ------------------------------------------------------------- SQL versions
 # Same adapters as SQL text (DuckDB dialect; FIXTURES.md). Oracles use them
 # as CTEs. ``t`` is epoch milliseconds truncated like Spark's unix_millis.
@@ -199,6 +224,18 @@ SELECT p_partkey AS purchase_id, string_split(p_name, ' ') AS class_names, DATE
 FROM part""",
     "student": """
 SELECT user_id AS student_id, CAST(ts AS DATE) AS date, event_id FROM events WHERE event_type = 'signup'""",
+    "class_info": """
+SELECT o_orderkey AS id, o_orderpriority AS name, '-' || CAST(o_orderkey % 1000 AS VARCHAR) AS open_code,
+  o_custkey AS course_id, CAST(o_orderstatus = 'P' AS INTEGER) AS is_del
+FROM orders""",
+    "course": """
+SELECT c_custkey AS id, c_name AS name, c_nationkey AS subject_id, 2000 + c_custkey % 20 AS year, c_mktsegment AS season
+FROM customer""",
+    "class_grade": "SELECT l_orderkey AS class_id, l_partkey AS grade_id FROM lineitem",
+    "grade": "SELECT p_partkey AS id, p_name AS name FROM part",
+    "subject": "SELECT n_nationkey AS id, n_name AS name FROM nation",
+    "class_teacher": "SELECT o_orderkey AS class_id, o_orderkey % 10 AS teacher_usr_id FROM orders",
+    "teacher": "SELECT s_suppkey AS id, s_name AS name, '+' || CAST(s_nationkey AS VARCHAR) AS mobile FROM supplier",
     "geo_range": """
 SELECT CAST(n_nationkey AS BIGINT) * 134217728 AS start_ip,
   CAST(n_nationkey AS BIGINT) * 134217728 + 117440511 AS end_ip,

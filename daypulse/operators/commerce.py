@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from daypulse.functions import labels
 
-PAYMENT_ORDER = ("date", "line_no", "part_key", "supp_key")
-
 
 def _pick(df: DataFrame, keys, order, values, fn) -> DataFrame:
     # One struct (order..., values...) compared field by field: the order
@@ -38,17 +36,16 @@ def first_per_key(df: DataFrame, keys, order, values) -> DataFrame:
     return _pick(df, keys, order, values, F.min)
 
 
-def revenue_by_channel(payments: DataFrame, on_unknown: str = "label") -> DataFrame:
-    """Latest row per purchase, then revenue (whole units, truncated
+def revenue_by_channel(payments: DataFrame, order=("date", "pay_time"), on_unknown: str = "label") -> DataFrame:
+    """Latest row per purchase (by ``order``), then revenue (whole units, truncated
     per row as P10) per business day and channel, with the greatest
     purchase number of the group as a sample."""
     rows = payments.select(
-        "purchase_number", *[c for c in PAYMENT_ORDER if c != "date"],
-        "date",
+        "purchase_number", *order,
         labels.pay_channel_label("pay_channel", on_unknown).alias("pay_channel"),
         labels.cents_to_units("total_price").alias("total_price"),
         labels.business_date("pay_date", "date").alias("business_date"))
-    latest = latest_per_key(rows, ["purchase_number"], PAYMENT_ORDER,
+    latest = latest_per_key(rows, ["purchase_number"], order,
                             ["pay_channel", "total_price", "business_date"])
     return (latest.groupBy(F.col("business_date").alias("date"), "pay_channel")
             .agg(F.sum("total_price").alias("total_price"),
@@ -77,9 +74,9 @@ def students_by_day(students: DataFrame) -> DataFrame:
     return last.groupBy("date").agg(F.count("student_id").alias("cnt"))
 
 
-def dedup_payments(payments: DataFrame) -> DataFrame:
-    """One payment per purchase number (the first by PAYMENT_ORDER)."""
-    return first_per_key(payments, ["purchase_number"], PAYMENT_ORDER,
+def dedup_payments(payments: DataFrame, order=("date", "pay_time")) -> DataFrame:
+    """One payment per purchase number (the first by ``order``)."""
+    return first_per_key(payments, ["purchase_number"], order,
                          ["pay_channel", "total_price", "pay_date", "date"])
 
 
@@ -92,34 +89,23 @@ def dedup_refunds(refunds: DataFrame) -> DataFrame:
                          ["status", "money", "purchase_money", "date"])
 
 
-def class_relation(lineitem: DataFrame, part: DataFrame, orders: DataFrame,
-                   customer: DataFrame, nation: DataFrame, region: DataFrame,
-                   supplier: DataFrame, excluded_status: str = "P") -> DataFrame:
-    """The seven-table star join with the status filter.
+def class_relation(class_info: DataFrame, course: DataFrame, class_grade: DataFrame, grade: DataFrame,
+                   subject: DataFrame, class_teacher: DataFrame, user: DataFrame) -> DataFrame:
+    """Every class that is not deleted with its course, grades, subject
+    and teachers; one row per (class, grade, teacher). Names are joined with
+    the open code and the teacher's mobile number (null if a part is null).
 
-    Nation and region have a fixed size (25 and 5 rows by definition) and
-    are broadcast; for the others AQE picks broadcast or sort-merge from
-    their measured size. The status filter and the column lists reach the
-    Parquet scans.
+    Which side is broadcast is left to AQE and the measured sizes; the filter
+    and the column lists reach the scans.
     """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
-    o = (orders.filter(F.col("o_orderstatus") != excluded_status)
-         .select("o_orderkey", "o_custkey", "o_orderpriority"))
-    p = part.select("p_partkey", F.concat("p_name", "p_brand").alias("class_name"))
-    c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = F.broadcast(nation.select("n_nationkey", "n_regionkey", "n_name"))
-    r = F.broadcast(region.select("r_regionkey", "r_name"))
-    s = supplier.select("s_suppkey", "s_name")
-    joined = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(p, F.col("l_partkey") == p.p_partkey)
-              .join(c, F.col("o_custkey") == c.c_custkey)
-              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-              .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-              .join(s, F.col("l_suppkey") == s.s_suppkey))
-    return joined.select(
-        F.col("l_orderkey").alias("id"), "class_name",
-        F.col("o_orderpriority").alias("course_name"),
-        F.col("c_mktsegment").alias("grade_name"),
-        F.col("n_name").alias("subject_name"),
-        F.col("r_name").alias("season"),
-        F.col("s_name").alias("teacher_name"))
+    ci = (class_info.filter(F.col("is_del") == 0)
+          .select("id", "course_id", F.concat("name", "open_code").alias("class_name")))
+    c = course.select(F.col("id").alias("course_id"), "subject_id", F.col("name").alias("course_name"), "year", "season")
+    cg = class_grade.select(F.col("class_id").alias("id"), "grade_id")
+    g = grade.select(F.col("id").alias("grade_id"), F.col("name").alias("grade_name"))
+    s = subject.select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"))
+    ct = class_teacher.select(F.col("class_id").alias("id"), "teacher_usr_id")
+    u = user.select(F.col("id").alias("teacher_usr_id"), F.concat("name", "mobile").alias("teacher_name"))
+    return (ci.join(c, "course_id").join(s, "subject_id").join(ct, "id").join(u, "teacher_usr_id")
+            .join(cg, "id").join(g, "grade_id")
+            .select("id", "class_name", "course_name", "grade_name", "year", "season", "subject_name", "teacher_name"))

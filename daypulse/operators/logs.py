@@ -102,10 +102,41 @@ def video_playbacks(client_rows: DataFrame) -> DataFrame:
             .groupBy("date").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def day_of(ms, tz: str = "UTC"):
+    """The day of an epoch-millisecond field; null when null or no real time."""
+    return F.when(plausible_millis(ms), millis_to_date(ms, tz))
+
+
+def landed_payments(server_rows: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Landed payment rows in the layout of A7, A12 and A16."""
+    return route(server_rows, "payment").select(
+        F.col("purchaseNumber").alias("purchase_number"), F.col("totalPrice").alias("total_price"),
+        F.col("payChannel").alias("pay_channel"), F.col("payTime").alias("pay_time"),
+        day_of("payTime", tz).alias("pay_date"), "date")
+
+
+def landed_refunds(server_rows: DataFrame) -> DataFrame:
+    """Landed refund rows in the layout of A11 and A16."""
+    return route(server_rows, "refund").select(
+        F.col("purchaseId").alias("purchase_id"), F.col("actionType").alias("action_type"), "money",
+        F.col("purchaseMoney").alias("purchase_money"), "status", "date")
+
+
+def landed_signups(server_rows: DataFrame) -> DataFrame:
+    """Landed signup rows in the layout of A13."""
+    return route(server_rows, "signup").select(
+        F.col("purchaseId").alias("purchase_id"), F.col("purchaseClassNames").alias("class_names"), "date")
+
+
+def landed_students(server_rows: DataFrame) -> DataFrame:
+    """Landed student rows in the layout of A14."""
+    return route(server_rows, "student").select(F.col("studentId").alias("student_id"), "date")
+
+
 def server_payment_records(server_rows: DataFrame, tz: str = "UTC") -> DataFrame:
     """P11 + P13 on raw server rows: the payment table layout; the day is
     the pay time's day, else the log day."""
-    paid = millis_to_date("payTime", tz)
+    paid = day_of("payTime", tz)
     return (route(server_rows, "payment")
             .select("actionType", F.col("studentId").alias("userId"), "purchaseNumber",
                     paid.alias("payTime"), "payChannel", "totalPrice",
@@ -117,8 +148,8 @@ def server_refund_records(server_rows: DataFrame, tz: str = "UTC") -> DataFrame:
     status name of the status code and the business day = verify time,
     else update time, else the log day (verify time kept as a day, null if
     absent)."""
-    verify = millis_to_date("verifyTime", tz)
-    update = millis_to_date("updateTime", tz)
+    verify = day_of("verifyTime", tz)
+    update = day_of("updateTime", tz)
     return (route(server_rows, "refund")
             .select("actionType", F.col("studentId").alias("userId"),
                     verify.alias("verifyTime"), "classId", "purchaseNumber",

@@ -17,11 +17,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from daypulse import schemas
 from daypulse.operators import activity, commerce, funnel, logs, retention
 from daypulse.operators.user_day import user_day, user_day_dims
-from daypulse.sinks.tables import write_table
-from daypulse.sources.tables import scan
+from daypulse.sinks.tables import is_path, path_exists, write_table
+from daypulse.sources.tables import empty_table, scan
 
 
 @dataclass
@@ -78,23 +80,43 @@ class ServerOutputs:
     refunds: str
     signups: str
     students: str
-
-
-def run_server_job(spark: SparkSession, payments: DataFrame, refunds: DataFrame,
-                   signups: DataFrame, students: DataFrame, out: ServerOutputs) -> None:
-    """A11-A14 from the landed server tables (already in the logical
-    layout of :mod:`daypulse.fixtures`)."""
-    write_table(commerce.revenue_by_channel(payments), out.revenue, partition_by="date",
-                mode="overwrite")
-    write_table(commerce.refund_by_status(refunds), out.refunds, partition_by="date",
-                mode="overwrite")
-    write_table(commerce.signup_by_class(signups), out.signups, partition_by="date",
-                mode="overwrite")
-    write_table(commerce.students_by_day(students), out.students, partition_by="date",
-                mode="overwrite")
-
-
-RELATION_TABLES = ("lineitem", "part", "orders", "customer", "nation", "region", "supplier")
+    payment_records: str | None = None  # the P13 layouts, one row per key (A16)
+    refund_records: str | None = None
+
+
+def landed_server_rows(spark: SparkSession, target: str) -> DataFrame:
+    """What stage 1 landed in one server table; no rows if it never had any."""
+    fields = [*schemas.SERVER_LOG.fields, T.StructField("date", T.DateType())]
+    if not path_exists(spark, target):
+        return empty_table(spark, T.StructType(fields))
+    found = spark.read.schema(T.StructType(fields)).parquet(target) if is_path(target) else spark.table(target)
+    return found.select(*[f.name for f in fields])
+
+
+def run_server_job(spark: SparkSession, landed: dict[str, str], out: ServerOutputs, tz: str = "UTC",
+                   on_unknown: str = "label") -> None:
+    """A11-A14 (and P13) from the tables that stage 1 landed (``landed``: route
+    -> target, as ``IngestTargets.server_routes`` gives them). Each product is
+    rebuilt from all landed rows and replaced whole: a later row moves a
+    purchase or a student to another day, and the day left must not keep it."""
+    payments, refunds, signups, students = (
+        landed_server_rows(spark, landed[n]) for n in ("payment", "refund", "signup", "student"))
+    products = [
+        (commerce.revenue_by_channel(logs.landed_payments(payments, tz), on_unknown=on_unknown), out.revenue),
+        (commerce.refund_by_status(logs.landed_refunds(refunds), on_unknown), out.refunds),
+        (commerce.signup_by_class(logs.landed_signups(signups)), out.signups),
+        (commerce.students_by_day(logs.landed_students(students)), out.students)]
+    for rows, keys, target in (
+            (logs.server_payment_records(payments, tz), ["purchaseNumber"], out.payment_records),
+            (logs.server_refund_records(refunds, tz), ["purchaseNumber", "actionType"], out.refund_records)):
+        if target:
+            rest = ["date", *[c for c in rows.columns if c not in keys and c != "date"]]
+            products.append((commerce.first_per_key(rows, keys, rest, rest), target))
+    for rows, target in products:
+        write_table(rows, target, partition_by="date", mode="replace")
+
+
+RELATION_TABLES = ("class_info", "course", "class_grade", "grade", "subject", "class_teacher", "user")
 
 
 def run_relation_sync(load, target: str) -> None:
@@ -103,6 +125,5 @@ def run_relation_sync(load, target: str) -> None:
     partitioned range read in production) and run the star join in Spark,
     instead of shipping one big join query to the database; then replace
     the relation table."""
-    tables = {name: load(name) for name in RELATION_TABLES}
-    relation = commerce.class_relation(*[tables[n] for n in RELATION_TABLES])
+    relation = commerce.class_relation(*[load(n) for n in RELATION_TABLES])
     write_table(relation, target, mode="overwrite")

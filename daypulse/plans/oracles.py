@@ -339,17 +339,17 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY purchase_id, action_type
                                         ORDER BY date, status, money, purchase_money) AS rn
            FROM refund WHERE action_type IN {_REFUND_ACTIONS})""", body="""
 SELECT purchase_id, action_type, status, money, purchase_money, date FROM ranked WHERE rn = 1"""),
-    "star_relation": """
-SELECT l_orderkey AS id, p_name || p_brand AS class_name, o_orderpriority AS course_name,
-  c_mktsegment AS grade_name, n_name AS subject_name, r_name AS season, s_name AS teacher_name
-FROM lineitem
-JOIN part ON l_partkey = p_partkey
-JOIN orders ON l_orderkey = o_orderkey
-JOIN customer ON o_custkey = c_custkey
-JOIN nation ON c_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey
-JOIN supplier ON l_suppkey = s_suppkey
-WHERE o_orderstatus <> 'P'""",
+    "star_relation": _with(("class_info", "course", "class_grade", "grade", "subject", "class_teacher", "teacher"), body="""
+SELECT ci.id, ci.name || ci.open_code AS class_name, c.name AS course_name, g.name AS grade_name, c.year, c.season,
+  s.name AS subject_name, t.name || t.mobile AS teacher_name
+FROM class_info ci
+JOIN course c ON ci.course_id = c.id
+JOIN subject s ON c.subject_id = s.id
+JOIN class_grade cg ON cg.class_id = ci.id
+JOIN grade g ON cg.grade_id = g.id
+JOIN class_teacher ct ON ct.class_id = ci.id
+JOIN teacher t ON ct.teacher_usr_id = t.id
+WHERE ci.is_del = 0"""),
     # ------------------------------------------------------------ sessions
     "session_rollup": _with(_CL, SESSIONS, body="SELECT * FROM sess"),
     "session_datapoints": _with(_CL, SESSIONS, body="SELECT * FROM dp"),

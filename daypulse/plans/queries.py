@@ -342,14 +342,14 @@ def top_urls(spark, sf_dir):
 def latest_per_key(spark, sf_dir):
     """A7."""
     return commerce.latest_per_key(
-        _payment(spark, sf_dir), ["purchase_number"], commerce.PAYMENT_ORDER,
+        _payment(spark, sf_dir), ["purchase_number"], fx.PAYMENT_ORDER,
         ["line_no", "part_key", "supp_key", "total_price", "pay_channel", "date"])
 
 
 @register
 def revenue_by_channel(spark, sf_dir):
     """A12."""
-    return commerce.revenue_by_channel(_payment(spark, sf_dir))
+    return commerce.revenue_by_channel(_payment(spark, sf_dir), fx.PAYMENT_ORDER)
 
 
 @register
@@ -373,7 +373,7 @@ def students_by_day(spark, sf_dir):
 @register
 def dedup_payments(spark, sf_dir):
     """A16, payments."""
-    return commerce.dedup_payments(_payment(spark, sf_dir))
+    return commerce.dedup_payments(_payment(spark, sf_dir), fx.PAYMENT_ORDER)
 
 
 @register
@@ -385,9 +385,7 @@ def dedup_refunds(spark, sf_dir):
 @register
 def star_relation(spark, sf_dir):
     """J6."""
-    t = lambda n: _t(spark, sf_dir, n)
-    return commerce.class_relation(t("lineitem"), t("part"), t("orders"), t("customer"),
-                                   t("nation"), t("region"), t("supplier"))
+    return commerce.class_relation(*fx.class_relation_tables(lambda name: _t(spark, sf_dir, name)))
 
 
 # -------------------------------------------------------------- sessions

@@ -12,20 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
 def write_table(df: DataFrame, target: str, partition_by=None, mode: str = "append",
                 fmt: str = "parquet") -> None:
-    """K1/K2/K3: write to a path (``/…``, ``scheme:…``) or a catalog table."""
-    writer = df.write.mode(mode).format(fmt)
+    """K1/K2/K3: write to a path (``/…``, ``scheme:…``) or a catalog table.
+    ``overwrite`` of a partitioned target replaces the partitions that ``df``
+    brings; ``replace`` replaces the whole target."""
+    writer = df.write.mode("overwrite" if mode == "replace" else mode).format(fmt)
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
         writer = writer.partitionBy(*cols)
     if mode == "overwrite" and partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    if _is_path(target):
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "static")
+    if is_path(target):
         writer.save(target)
     elif mode == "overwrite" and partition_by and df.sparkSession.catalog.tableExists(target):
         # saveAsTable would replace the whole table; insertInto replaces the partitions it brings
@@ -42,16 +46,17 @@ def write_table(df: DataFrame, target: str, partition_by=None, mode: str = "appe
 
 
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(target) if _is_path(target) else spark.table(target)
+    return spark.read.format(fmt).load(target) if is_path(target) else spark.table(target)
 
 
 def path_exists(spark: SparkSession, target: str) -> bool:
-    """Whether a path or catalog table exists (resolving reads no data)."""
-    if not _is_path(target):
+    """Whether a path or catalog table exists (no file is opened; a folder
+    without rows exists too)."""
+    if not is_path(target):
         return spark.catalog.tableExists(target)
     from pyspark.errors import AnalysisException
     try:
-        spark.read.parquet(target).schema
+        spark.read.schema("_any int").parquet(target)
         return True
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
@@ -61,7 +66,7 @@ def path_exists(spark: SparkSession, target: str) -> bool:
 
 def drop_target(spark: SparkSession, target: str) -> None:
     """K5: drop a catalog table; for paths, overwrite mode replaces data."""
-    if _is_path(target):
+    if is_path(target):
         raise ValueError("paths are replaced with mode='overwrite', not deleted")
     spark.sql(f"DROP TABLE IF EXISTS {target}")
 

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from daypulse import fixtures as fx
 from daypulse.operators import commerce, funnel, retention
 
 D0 = dt.date(2024, 1, 1)
@@ -91,9 +92,9 @@ def test_revenue_latest_row_and_truncation(spark):
             ("p2", -199, 1, _d(1), _d(1), 1, 1, 1), ("p3", 101, 1, _d(1), _d(1), 2, 5, 1),
             ("p3", 999, 1, _d(1), _d(1), 1, 9, 9)]
     df = spark.createDataFrame(rows, PAY)
-    got = _rows(commerce.revenue_by_channel(df))
+    got = _rows(commerce.revenue_by_channel(df, fx.PAYMENT_ORDER))
     assert got == [(_d(1), "支付宝二维码", 2, "p1"), (_d(1), "现金", 0, "p3")]
-    first = {r.purchase_number: r.total_price for r in commerce.dedup_payments(df).collect()}
+    first = {r.purchase_number: r.total_price for r in commerce.dedup_payments(df, fx.PAYMENT_ORDER).collect()}
     assert first == {"p1": 199, "p2": -199, "p3": 999}
 
 
