@@ -63,11 +63,24 @@ def client_log(events: DataFrame) -> DataFrame:
     )
 
 
-def user_day_sparse(events: DataFrame) -> DataFrame:
-    return (events.filter(F.col("event_type") == "purchase")
-            .select(F.to_date("ts").alias("date"), F.col("user_id").alias("uid"),
-                    (F.col("event_id") % 2).alias("slot"))
-            .distinct())
+def user_day_sparse(orders: DataFrame) -> DataFrame:
+    """Customers by order day: few days a user, many days without a first."""
+    return orders.select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("uid"),
+                         (F.col("o_orderkey") % 2).alias("slot")).distinct()
+
+
+def page_view(pages: DataFrame) -> DataFrame:
+    """Pages as client rows, a hundred visitors in turn: hosts, ports,
+    queries, fragments and file names in the URLs."""
+    return pages.select(F.col("page_id").alias("event_id"), F.concat(F.lit("v"), _s(F.col("page_id") % 100)).alias("uid"),
+                        F.concat(F.lit("p"), _s(F.col("page_id"))).alias("_id"), "url")
+
+
+def event_json(events: DataFrame) -> DataFrame:
+    """The JSON of an event; one in 13 is cut short, one in 13 is no JSON."""
+    p = F.col("props")
+    return events.select("event_id", F.when(F.col("event_id") % 13 == 0, F.left(p, F.length(p) - 1))
+                         .when(F.col("event_id") % 13 == 1, F.concat(F.lit("bad "), p)).otherwise(p).alias("props"))
 
 
 def server_line(events: DataFrame) -> DataFrame:
@@ -192,8 +205,14 @@ SELECT event_id, ts, epoch_us(ts) // 1000 AS t, CAST(ts AS DATE) AS date,
   event_type
 FROM events""",
     "user_day_sparse": """
-SELECT DISTINCT CAST(ts AS DATE) AS date, user_id AS uid, event_id % 2 AS slot
-FROM events WHERE event_type = 'purchase'""",
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_custkey AS uid, o_orderkey % 2 AS slot FROM orders""",
+    "page_view": """
+SELECT page_id AS event_id, 'v' || CAST(page_id % 100 AS VARCHAR) AS uid, 'p' || CAST(page_id AS VARCHAR) AS _id, url
+FROM pages""",
+    "event_json": """
+SELECT event_id, CASE event_id % 13 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN 'bad ' || props
+  ELSE props END AS props
+FROM events""",
     "server_line": """
 SELECT event_id,
   CASE WHEN event_id % 7 = 0 THEN 'short' ELSE

@@ -1,9 +1,8 @@
 """User-agent fields F6-F7 as native regex rules (no per-row Python).
 
 The reference parses every row with an external regex database. Here the
-rules are a small ordered table applied as a ``when(rlike)`` chain, and
-:func:`daypulse.operators.agents.parse_user_agents` applies it once per
-*distinct* user agent and joins the result back.
+rules are a small ordered table applied as a ``when(rlike)`` chain;
+:func:`daypulse.operators.agents.parse_user_agents` applies it to a table.
 """
 
 from __future__ import annotations

@@ -1,10 +1,8 @@
-"""F7 as a dimension job: parse each distinct user agent once, join back.
+"""F6 + F7 on a table: the user-agent fields of every row.
 
-User-agent strings repeat heavily (a few thousand distinct values carry
-almost all rows), so the rule chain runs on ``SELECT DISTINCT u_a`` — a
-partial-aggregated shuffle — and the parsed dimension is joined back. AQE
-turns that join into a broadcast when the measured dimension is small, and
-splits a hot key with skew-join handling when it is not.
+The rule chain is a Catalyst expression, so it runs where the rows are: no
+shuffle on the (heavily skewed) user-agent string, no second scan for its
+distinct values and no join back.
 """
 
 from __future__ import annotations
@@ -17,13 +15,6 @@ from daypulse.functions.agents import ua_struct
 UA_FIELDS = ("device", "os", "os_version", "language", "network", "browser")
 
 
-def parse_user_agents(df: DataFrame, ua_col: str = "u_a",
-                      keys: DataFrame | None = None) -> DataFrame:
-    """Add the UA fields of F6/F7 to ``df``. The dimension is parsed from
-    the distinct values of ``keys[ua_col]`` (default: ``df`` itself; a
-    superset such as the raw rows avoids computing ``df`` twice)."""
-    source = df if keys is None else keys
-    dim = (source.select(F.col(ua_col).alias("_ua")).distinct()
-           .select("_ua", ua_struct("_ua").alias("_p"))
-           .select("_ua", *[F.col(f"_p.{f}").alias(f) for f in UA_FIELDS]))
-    return (df.join(dim, df[ua_col].eqNullSafe(dim["_ua"]), "left").drop("_ua"))
+def parse_user_agents(df: DataFrame, ua_col: str = "u_a") -> DataFrame:
+    """Add the UA fields of F6/F7 to ``df``."""
+    return df.select("*", ua_struct(ua_col).alias("_p")).select(*df.columns, *[F.col(f"_p.{f}").alias(f) for f in UA_FIELDS])

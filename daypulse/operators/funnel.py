@@ -35,12 +35,17 @@ def open_distribution(client_rows: DataFrame, param: str = REPORT_PARAM) -> Data
     return hist.filter(F.col("cnt") > 0).orderBy("times_opened")
 
 
-def distinct_steps(client_rows: DataFrame) -> DataFrame:
-    """A4: distinct (user, step) pairs; rows without a parsable URL drop."""
+def user_steps(client_rows: DataFrame) -> DataFrame:
+    """The (user, step) pairs of A4 before the last distinct: a pair repeats
+    when two URLs clean to one step. Enough for :func:`funnel_lists`."""
     pairs = _user_urls(client_rows).select("uid", "url")
     return (with_url_fields(pairs, "url", fields=("steps",), urls_only=True)
-            .select("uid", F.col("steps").alias("url"))
-            .distinct())
+            .select("uid", F.col("steps").alias("url")))
+
+
+def distinct_steps(client_rows: DataFrame) -> DataFrame:
+    """A4: distinct (user, step) pairs; rows without a parsable URL drop."""
+    return user_steps(client_rows).distinct()
 
 
 def url_reach(pairs: DataFrame, user: str = "uid", step: str = "url",
@@ -57,22 +62,31 @@ def url_reach(pairs: DataFrame, user: str = "uid", step: str = "url",
             .orderBy(F.desc("reach"), F.asc(step)))
 
 
-def funnel_paths(pairs: DataFrame, user: str = "uid", step: str = "url") -> DataFrame:
+def funnel_lists(pairs: DataFrame, user: str = "uid", step: str = "url") -> DataFrame:
     """Each user's set of steps ordered by global reach (desc, ties by
-    step asc) and joined with ``>``; then users per distinct path.
+    step asc) as an array ``funnel``, and the users with it.
 
-    ``pairs`` are distinct (user, step) rows, so a user's list is bounded by
-    the step vocabulary, not by how many events the user has.
+    One pass over ``pairs`` (user, step; repeats allowed): users become their
+    set of steps, equal sets are counted, and reach, join and ordering work on
+    the distinct sets with their counts, which are far fewer than the users. A
+    user's set is bounded by the step vocabulary.
     """
-    # Null steps cannot join (and have no reach); drop them once, up front.
-    pairs = pairs.filter(F.col(step).isNotNull())
-    reach = pairs.groupBy(step).agg(F.count(F.col(user)).alias("_reach"))
-    ranked = pairs.join(reach, step)
-    per_user = ranked.groupBy(user).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("_reach")).alias("k"),
-                                             F.col(step).alias("s")))).alias("_steps"))
-    path = F.array_join(F.transform("_steps", lambda e: e["s"]), STEP_SEPARATOR)
-    return (per_user.groupBy(path.alias("funnel")).agg(F.count(F.lit(1)).alias("cnt"))
+    sets = (pairs.filter(F.col(step).isNotNull())
+            .groupBy(user).agg(F.array_sort(F.collect_set(step)).alias("_set"))
+            # a null user has a funnel but does not count as reached
+            .groupBy("_set", F.col(user).isNull().alias("_nobody")).agg(F.count(F.lit(1)).alias("_n")))
+    each = sets.select("_set", "_nobody", "_n", F.explode("_set").alias("_s"))
+    reach = each.groupBy("_s").agg(F.sum(F.when(F.col("_nobody"), 0).otherwise(F.col("_n"))).alias("_reach"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("_reach")).alias("k"), F.col("_s").alias("s"))))
+    return (each.join(reach, "_s").groupBy("_set", "_nobody").agg(F.max("_n").alias("_n"), ordered.alias("_steps"))
+            .groupBy(F.transform("_steps", lambda e: e["s"]).alias("funnel")).agg(F.sum("_n").alias("cnt")))
+
+
+def funnel_paths(pairs: DataFrame, user: str = "uid", step: str = "url") -> DataFrame:
+    """A6 as text: the lists of :func:`funnel_lists` joined with ``>`` (lists
+    that read the same count together)."""
+    lists = funnel_lists(pairs, user, step)
+    return (lists.groupBy(F.array_join("funnel", STEP_SEPARATOR).alias("funnel")).agg(F.sum("cnt").alias("cnt"))
             .orderBy(F.desc("cnt"), F.asc("funnel")))
 
 

@@ -73,17 +73,20 @@ def retention_join_chain(user_days: DataFrame, days=RETENTION_DAYS) -> DataFrame
 
 def cohort_retention(user_days: DataFrame, days=RETENTION_DAYS) -> DataFrame:
     """Cohort retention: share of the users first seen on ``date`` who are
-    active again exactly N days later."""
+    active again exactly N days later; null where day N lies behind the last
+    day of the data (it cannot be observed yet)."""
     active = user_days.filter(F.col("uid").isNotNull()).select("uid", "date").distinct()
     first = F.min("date").over(Window.partitionBy("uid"))
     aged = active.select("uid", (F.col("date")).alias("day"),
                          first.alias("date")).withColumn("age", F.datediff("day", "date"))
     per = aged.groupBy("date").agg(
-        F.count_if(F.col("age") == 0).alias("cohort_size"),
+        F.count_if(F.col("age") == 0).alias("cohort_size"), F.max("day").alias("_last"),
         *[F.count_if(F.col("age") == n).alias(f"r{n}") for n in days])
+    # one row per cohort day: the single window partition is bounded by the calendar
+    per = per.withColumn("_last", F.max("_last").over(Window.partitionBy()))
     return per.select("date", "cohort_size",
-                      *[safe_ratio(F.col(f"r{n}"), F.col("cohort_size")).alias(f"d{n}_retention")
-                        for n in days])
+                      *[F.when(F.date_add("date", n) <= F.col("_last"), safe_ratio(F.col(f"r{n}"), F.col("cohort_size")))
+                        .alias(f"d{n}_retention") for n in days])
 
 
 def dx_retention(sessions: DataFrame, x: int, date_col: str = "date",

@@ -41,9 +41,9 @@ def user_day_dims(user_days: DataFrame, geo_ranges: DataFrame,
                   geo_strategy: str = "bucketed", keys: DataFrame | None = None) -> DataFrame:
     """User-day rows with location and user-agent dimensions (A2 input).
 
-    IPs and user agents are looked up once per distinct value, taken from
-    ``keys`` (columns ``ip`` and ``u_a``; default: ``user_days``). When the
-    user-days are not materialised, pass the raw rows they came from so the
-    user-day aggregation runs once."""
+    IPs are looked up once per distinct value, taken from ``keys`` (column
+    ``ip``; default: ``user_days``). When the user-days are not materialised,
+    pass the raw rows they came from so the user-day aggregation runs once.
+    User agents are parsed in place."""
     located = with_location(user_days, geo_ranges, "ip", "loc", strategy=geo_strategy, keys=keys)
-    return parse_user_agents(located, "u_a", keys=keys)
+    return parse_user_agents(located, "u_a")

@@ -48,6 +48,8 @@ client_paths AS (
     CASE WHEN path IS NULL THEN NULL WHEN starts_with(p1, '/') THEN rtrim(folded, '|') ELSE '' END AS steps
   FROM cp7)"""
 
+PAGE_PATHS = CLIENT_PATHS.replace("FROM client_log", "FROM page_view")
+
 _IPV4 = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])"
 
 
@@ -182,10 +184,10 @@ _CLG = ("client_log", "geo_range")
 
 ORACLES: dict[str, str] = {
     # --------------------------------------------------- sources / parsing
-    "json_extract": """
-SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+    "json_extract": _with(("event_json",), body="""
+SELECT event_id, CASE WHEN json_valid(props) THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
        coalesce(NOT json_valid(props), FALSE) AS is_corrupt
-FROM events""",
+FROM event_json"""),
     "server_log_parse": _with(("server_line",), _SERVER, body="SELECT * FROM srv"),
     "scan_date_filter": _with(_CL, body="""
 SELECT event_id, date, uid, event_type FROM client_log
@@ -264,10 +266,13 @@ sizes AS (SELECT cohort, COUNT(*) AS cohort_size FROM firsts GROUP BY cohort),
 back AS (SELECT f.cohort, date_diff('day', f.cohort, a.date) AS age FROM act a JOIN firsts f ON a.uid = f.uid)""",
                               body="""
 SELECT s.cohort AS date, s.cohort_size,
-  CAST((SELECT COUNT(*) FROM back b WHERE b.cohort = s.cohort AND b.age = 1) AS DOUBLE) / s.cohort_size AS d1_retention,
-  CAST((SELECT COUNT(*) FROM back b WHERE b.cohort = s.cohort AND b.age = 7) AS DOUBLE) / s.cohort_size AS d7_retention,
-  CAST((SELECT COUNT(*) FROM back b WHERE b.cohort = s.cohort AND b.age = 30) AS DOUBLE) / s.cohort_size AS d30_retention
-FROM sizes s"""),
+  CASE WHEN s.cohort + 1 <= last.day THEN
+    CAST((SELECT COUNT(*) FROM back b WHERE b.cohort = s.cohort AND b.age = 1) AS DOUBLE) / s.cohort_size END AS d1_retention,
+  CASE WHEN s.cohort + 7 <= last.day THEN
+    CAST((SELECT COUNT(*) FROM back b WHERE b.cohort = s.cohort AND b.age = 7) AS DOUBLE) / s.cohort_size END AS d7_retention,
+  CASE WHEN s.cohort + 30 <= last.day THEN
+    CAST((SELECT COUNT(*) FROM back b WHERE b.cohort = s.cohort AND b.age = 30) AS DOUBLE) / s.cohort_size END AS d30_retention
+FROM sizes s, (SELECT MAX(date) AS day FROM act) last"""),
     # -------------------------------------------------------------- funnel
     "open_distribution": _with(_CL, CLIENT_PATHS, """
 opens AS (
@@ -300,7 +305,18 @@ SELECT funnel, COUNT(*) AS cnt FROM paths GROUP BY funnel"""),
     "top_urls": _with(_CL, CLIENT_PATHS, """
 pairs AS (SELECT DISTINCT coalesce(nullif(uid, ''), _id) AS uid, steps AS url
           FROM client_paths WHERE steps IS NOT NULL)""", body="""
-SELECT url, COUNT(DISTINCT uid) AS reach FROM pairs GROUP BY url ORDER BY reach DESC, url ASC LIMIT 10"""),
+SELECT url, COUNT(DISTINCT uid) AS reach FROM pairs GROUP BY url ORDER BY reach DESC, url ASC LIMIT 3"""),
+    "page_url_fields": _with(("page_view",), PAGE_PATHS, body="""
+SELECT event_id, clean AS path, is_wechat, steps,
+  replace(regexp_extract(CASE WHEN suffix(clean, '/') THEN clean ELSE clean || '/' END, '/en/([^/]*)/', 1), 'en', '') AS en
+FROM client_paths"""),
+    "page_funnels": _with(("page_view",), PAGE_PATHS, """
+pairs AS (SELECT DISTINCT coalesce(nullif(uid, ''), _id) AS who, steps AS step
+          FROM client_paths WHERE steps IS NOT NULL),
+reach AS (SELECT step, COUNT(DISTINCT who) AS r FROM pairs GROUP BY step),
+paths AS (SELECT p.who, string_agg(p.step, '>' ORDER BY reach.r DESC, p.step ASC) AS funnel
+          FROM pairs p JOIN reach ON p.step = reach.step GROUP BY p.who)""", body="""
+SELECT funnel, COUNT(*) AS cnt FROM paths GROUP BY funnel"""),
     # ------------------------------------------------------------ commerce
     "latest_per_key": _with(("payment",), """
 ranked AS (SELECT *, row_number() OVER (PARTITION BY purchase_number
@@ -400,8 +416,8 @@ SELECT date, 'dau' AS measure, dau AS value, 0 AS measure_order FROM per_day
 UNION ALL SELECT date, 'wau', wau, 1 FROM per_day
 UNION ALL SELECT date, 'mau', mau, 2 FROM per_day
 UNION ALL SELECT date, 'sessions', sessions, 3 FROM per_day"""),
-    "dense_calendar": _with(_CL, CLIENT_PATHS, USER_DAY, """
-fv AS (SELECT MIN(date) AS d FROM ud WHERE uid IS NOT NULL GROUP BY uid),
+    "dense_calendar": _with(("user_day_sparse",), """
+fv AS (SELECT MIN(date) AS d FROM user_day_sparse WHERE uid IS NOT NULL GROUP BY uid),
 per AS (SELECT d AS date, COUNT(*) AS n FROM fv GROUP BY d),
 days AS (SELECT CAST(unnest(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE) AS date FROM per)""",
                             body="""

@@ -32,7 +32,7 @@ DATE_FROM, DATE_TO = "2024-01-10", "2024-01-20"
 SNAPSHOT_CUT = "2024-01-16"
 XAU_DAYS = 7
 DX_DAYS = 1
-TOP_K = 10
+TOP_K = 3
 
 
 def register(fn: Query) -> Query:
@@ -73,7 +73,7 @@ def _user_days(spark, sf_dir) -> DataFrame:
 def _user_dims(spark, sf_dir) -> DataFrame:
     rows = _client(spark, sf_dir)
     days = user_day(rows, order_cols=("t", "event_id"))
-    return user_day_dims(days, _geo(spark, sf_dir), keys=rows.select("ip", "u_a"))
+    return user_day_dims(days, _geo(spark, sf_dir), keys=rows.select("ip"))
 
 
 def _sessions(spark, sf_dir) -> DataFrame:
@@ -85,7 +85,7 @@ def _sessions(spark, sf_dir) -> DataFrame:
 def json_extract(spark, sf_dir):
     """S3: JSON text -> typed columns with an explicit schema."""
     schema = T.StructType([T.StructField("k", T.LongType())])
-    parsed = logs.parse_json(_t(spark, sf_dir, "events"), "props", schema, keep=["event_id"])
+    parsed = logs.parse_json(fx.event_json(_t(spark, sf_dir, "events")), "props", schema, keep=["event_id"])
     return parsed.select("event_id", "k", F.col(schemas.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
@@ -199,7 +199,7 @@ def path_param_query(spark, sf_dir):
 
 @register
 def ua_fields(spark, sf_dir):
-    """F6 + F7: parse distinct user agents once, join back to events."""
+    """F6 + F7."""
     rows = _client(spark, sf_dir).select("event_id", "u_a")
     return parse_user_agents(rows, "u_a").select("event_id", *UA_FIELDS)
 
@@ -287,8 +287,8 @@ def retention_full_outer(spark, sf_dir):
 
 @register
 def retention_cohort(spark, sf_dir):
-    """Cohort retention over the sparse user-day fixture."""
-    sparse = fx.user_day_sparse(_t(spark, sf_dir, "events")).select(
+    """Cohort retention of customers by order day."""
+    sparse = fx.user_day_sparse(_t(spark, sf_dir, "orders")).select(
         "date", F.col("uid").cast("string").alias("uid"))
     return retention.cohort_retention(sparse)
 
@@ -327,7 +327,7 @@ def funnel_paths(spark, sf_dir):
 @register
 def funnel_url_paths(spark, sf_dir):
     """A6 on URL steps per resolved user (the reference's own data flow)."""
-    return funnel.funnel_paths(funnel.distinct_steps(_client(spark, sf_dir)))
+    return funnel.funnel_paths(funnel.user_steps(_client(spark, sf_dir)))
 
 
 @register
@@ -337,6 +337,19 @@ def top_urls(spark, sf_dir):
     return funnel.top_steps(reach, TOP_K)
 
 
+@register
+def page_url_fields(spark, sf_dir):
+    """F1-F5 on the URLs of pages."""
+    rows = with_url_fields(fx.page_view(_t(spark, sf_dir, "pages")), "url", fields=("clean", "is_wechat", "steps"))
+    return rows.select("event_id", F.col("clean").alias("path"), "is_wechat", "steps", path_param("clean", "en").alias("en"))
+
+
+@register
+def page_funnels(spark, sf_dir):
+    """A4 -> A6 on the URLs of pages."""
+    return funnel.funnel_paths(funnel.user_steps(fx.page_view(_t(spark, sf_dir, "pages"))))
+
+
 # -------------------------------------------------------------- commerce
 @register
 def latest_per_key(spark, sf_dir):
@@ -492,8 +505,8 @@ def bi_measures_long(spark, sf_dir):
 
 @register
 def dense_calendar(spark, sf_dir):
-    """First visits per day, every day of the range shown."""
-    per_day = (activity.first_visit(_user_days(spark, sf_dir))
+    """First orders per day, every day of the range shown."""
+    per_day = (activity.first_visit(fx.user_day_sparse(_t(spark, sf_dir, "orders")))
                .groupBy(F.col("earliest_date").alias("date"))
                .agg(F.count(F.lit(1)).alias("first_visits")))
     return bi.full_range(per_day, ["first_visits"])

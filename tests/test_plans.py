@@ -69,3 +69,29 @@ def test_ip_join_back_is_keyed_by_number(spark):
     ip_joins = [body for _, op, body in nodes if op.endswith("Join") and "_ipn" in body]
     assert ip_joins and all("coalesce(ip" not in b and "isnull(ip" not in b for b in ip_joins)
     assert sum(1 for _, op, _ in nodes if op == "Window") == 2
+
+
+def _ran(spark, name):
+    """The final adaptive plan after the query ran."""
+    df = entry.queries()[name](spark, SF)
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["funnel_paths", "funnel_url_paths"])
+def test_funnel_parses_the_events_once(spark, name):
+    plan = _ran(spark, name)
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    assert plan.count("collect_set") >= 1 and "Window" not in plan
+
+
+@pytest.mark.parametrize("name", ["active_users_interval", "bi_basics_per_day", "bi_measures_long"])
+def test_user_agents_need_no_scan_of_their_own(spark, name):
+    plan = _plan(spark, name)
+    scans = re.findall(r"Location: InMemoryFileIndex \[file:[^\]]*events\.parquet\]", plan)
+    assert len(scans) == 2  # the user-days and the IP keys
+    assert not re.search(r"Join.*\n.*u_a", plan)
+
+
+def test_user_agent_fields_stay_in_one_stage(spark):
+    assert "Exchange" not in _plan(spark, "ua_fields")

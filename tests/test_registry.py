@@ -47,7 +47,9 @@ def test_query_matches_oracle(spark, con, name):
 
 ADAPTERS = {
     "client_log": lambda s: fx.client_log(fx.table(s, SF, "events")),
-    "user_day_sparse": lambda s: fx.user_day_sparse(fx.table(s, SF, "events")),
+    "user_day_sparse": lambda s: fx.user_day_sparse(fx.table(s, SF, "orders")),
+    "page_view": lambda s: fx.page_view(fx.table(s, SF, "pages")),
+    "event_json": lambda s: fx.event_json(fx.table(s, SF, "events")),
     "server_line": lambda s: fx.server_line(fx.table(s, SF, "events")),
     "payment": lambda s: fx.payment(fx.table(s, SF, "lineitem")),
     "refund": lambda s: fx.refund(fx.table(s, SF, "lineitem")),

@@ -52,6 +52,8 @@ def test_cohort_retention(spark):
     assert got[_d(0)].d7_retention == 0.5  # b back on day 7
     assert got[_d(0)].d30_retention == 0.5  # a back on day 30
     assert got[_d(7)].d1_retention == 1.0  # c
+    # the data end on day 30: what lies behind it is unknown, not zero
+    assert got[_d(7)].d7_retention == 0.0 and got[_d(7)].d30_retention is None
 
 
 def test_dx_retention(spark):
@@ -156,3 +158,30 @@ def test_retention_random(spark):
     chain = {r["date"]: (r.d1_retention, r.d7_retention, r.d30_retention)
              for r in retention.retention_join_chain(df).collect()}
     assert one == chain == _retention_brute(rows)
+
+
+def test_funnel_lists_keep_steps_apart(spark):
+    """Steps that hold the separator: two lists, one text. Repeated pairs, a
+    null user and null steps; reach counts users only."""
+    pairs = [("a", "x>y"), ("a", "x>y"), ("b", "x"), ("b", "y"), ("c", "y"), (None, "z"), (None, "z"), ("d", None)]
+    df = spark.createDataFrame(pairs, "uid string, url string")
+    lists = sorted((tuple(r.funnel), r.cnt) for r in funnel.funnel_lists(df).collect())
+    assert lists == [(("x>y",), 1), (("y",), 1), (("y", "x"), 1), (("z",), 1)]
+    assert sorted(tuple(r) for r in funnel.funnel_paths(df).collect()) == [("x>y", 1), ("y", 1), ("y>x", 1), ("z", 1)]
+    same = spark.createDataFrame([("a", "x>y"), ("b", "x"), ("b", "y"), ("c", "x")], "uid string, url string")
+    assert sorted(tuple(r) for r in funnel.funnel_paths(same).collect()) == [("x", 1), ("x>y", 2)]
+    assert funnel.funnel_lists(same).count() == 3
+
+
+def test_funnel_equals_brute_force(spark):
+    import random
+    from collections import Counter
+    r = random.Random(3)
+    pairs = {(f"u{r.randrange(60)}", r.choice("abcdefg")) for _ in range(200)} | {("hot", c) for c in "abcdefgh"}
+    reach = Counter(s for _, s in pairs)
+    users = {}
+    for u, s in pairs:
+        users.setdefault(u, set()).add(s)
+    expect = Counter(">".join(sorted(v, key=lambda s: (-reach[s], s))) for v in users.values())
+    got = funnel.funnel_paths(spark.createDataFrame(sorted(pairs), "uid string, url string")).collect()
+    assert {x.funnel: x.cnt for x in got} == dict(expect)
