@@ -14,31 +14,37 @@ REPORT_PARAM = "homeWorkReport"
 STEP_SEPARATOR = ">"
 
 
-def _user_urls(client_rows: DataFrame) -> DataFrame:
-    """Rows per distinct (user, raw url): the URL parse then runs once per
-    pair instead of once per event (partial aggregation before the shuffle)."""
-    return (client_rows.groupBy(funnel_identity().alias("uid"), F.col("url"))
-            .agg(F.count(F.lit(1)).alias("_n")))
+def user_urls(client_rows: DataFrame, by=()) -> DataFrame:
+    """Rows ``n`` per distinct (user, raw url), and per column in ``by``: the
+    URL parse then runs once per pair instead of once per event (partial
+    aggregation before the shuffle)."""
+    return (client_rows.groupBy(*by, funnel_identity().alias("uid"), F.col("url"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
-def open_distribution(client_rows: DataFrame, param: str = REPORT_PARAM) -> DataFrame:
+def _user_urls(rows: DataFrame, counted: bool) -> DataFrame:
+    # ``counted``: rows of a stored :func:`user_urls` table
+    return rows.groupBy("uid", "url").agg(F.sum("n").alias("n")) if counted else user_urls(rows)
+
+
+def open_distribution(client_rows: DataFrame, param: str = REPORT_PARAM, counted: bool = False) -> DataFrame:
     """A3: how many (report, user) pairs opened a report n times, by n.
 
     The report id is a projected column (null when the path does not name
     a report) rather than a row filter: a filter on a parsed column would
     be pushed below the projections with the parse inlined into it."""
-    parsed = with_url_fields(_user_urls(client_rows), "url", fields=("clean",), urls_only=True)
+    parsed = with_url_fields(_user_urls(client_rows, counted), "url", fields=("clean",), urls_only=True)
     report = F.when(F.col("clean").contains(param), path_param("clean", param))
-    per_pair = (parsed.select(report.alias("report"), "uid", "_n")
-                .groupBy("report", "uid").agg(F.sum("_n").alias("times_opened")))
+    per_pair = (parsed.select(report.alias("report"), "uid", "n")
+                .groupBy("report", "uid").agg(F.sum("n").alias("times_opened")))
     hist = per_pair.groupBy("times_opened").agg(F.count("report").alias("cnt"))
     return hist.filter(F.col("cnt") > 0).orderBy("times_opened")
 
 
-def user_steps(client_rows: DataFrame) -> DataFrame:
+def user_steps(client_rows: DataFrame, counted: bool = False) -> DataFrame:
     """The (user, step) pairs of A4 before the last distinct: a pair repeats
     when two URLs clean to one step. Enough for :func:`funnel_lists`."""
-    pairs = _user_urls(client_rows).select("uid", "url")
+    pairs = _user_urls(client_rows, counted).select("uid", "url")
     return (with_url_fields(pairs, "url", fields=("steps",), urls_only=True)
             .select("uid", F.col("steps").alias("url")))
 

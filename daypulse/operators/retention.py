@@ -36,7 +36,10 @@ def _with_age(per: DataFrame) -> DataFrame:
 
 def retention(user_days: DataFrame, days=RETENTION_DAYS) -> DataFrame:
     """A10, one pass: conditional sums instead of 3 x (join + join)."""
-    aged = _with_age(_rows_per_user_day(user_days))
+    return _ratios(_with_age(_rows_per_user_day(user_days)), days)
+
+
+def _ratios(aged: DataFrame, days) -> DataFrame:
     sums = [F.sum(F.when(F.col("age") == n, F.col("n"))).alias(f"r{n}") for n in days]
     per_day = aged.groupBy("date").agg(F.sum("n").alias("current"), *sums)
     cols = [safe_ratio(F.col(f"r{n}"), F.col("current")).alias(f"d{n}_retention") for n in days]
@@ -44,6 +47,15 @@ def retention(user_days: DataFrame, days=RETENTION_DAYS) -> DataFrame:
     return out.filter(F.greatest(*[F.col(f"d{n}_retention").isNotNull() for n in days]))
 
 
+def retention_since(user_days: DataFrame, first: DataFrame, days=RETENTION_DAYS) -> DataFrame:
+    """A10 of the days in ``user_days`` alone, by a table of first days
+    (``uid``, ``earliest_date``) over all history."""
+    per = _rows_per_user_day(user_days)
+    aged = per.join(first.select("uid", "earliest_date"), "uid", "left").withColumn(
+        "age", F.datediff("date", "earliest_date"))
+    return _ratios(aged, days)
+
+
 def user_age(user_days: DataFrame) -> DataFrame:
     """User-day rows joined with the user's first day (inner: null uid
     rows drop out), with ``age`` in days."""

@@ -5,10 +5,9 @@ What the operators look like when run for real: each job reads the landed
 predicates), derives its products and writes them with dynamic partition
 overwrite, so re-running a day replaces exactly that day.
 
-The client job writes the user-day table first and reads it back: it feeds
-five products (A2, A3-A6 use the raw rows; A2, A8, A10 the user-days), and
-a written table both cuts the lineage (a lost executor does not re-run the
-raw-log aggregation) and is read once per consumer from shared storage.
+The client job writes the user-day table first and reads it back: a written
+table both cuts the lineage (a lost executor does not re-run the raw-log
+aggregation) and is read once per consumer from shared storage.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from pyspark.sql import types as T
 from daypulse import schemas
 from daypulse.operators import activity, commerce, funnel, logs, retention
 from daypulse.operators.user_day import user_day, user_day_dims
-from daypulse.sinks.tables import is_path, path_exists, write_table
+from daypulse.sinks.tables import is_path, path_exists, read_table, write_table
 from daypulse.sources.tables import empty_table, scan
 
 
@@ -34,7 +33,9 @@ class ClientOutputs:
     report_opens: str
     funnels: str
     video_playbacks: str
-    step_pairs: str | None = None  # written once, read by both funnel consumers
+    user_urls: str     # per day, user and URL: what opens and funnels are rebuilt from
+    first_visits: str  # a log of first days by run; the minimum holds
+    mark: str          # A9: the last closed day
 
 
 def _since(df: DataFrame, since: str | None, look_back_days: int = 0) -> DataFrame:
@@ -44,34 +45,47 @@ def _since(df: DataFrame, since: str | None, look_back_days: int = 0) -> DataFra
     return df.filter(F.col("date") >= start)
 
 
+def stored_since(spark: SparkSession, mark: str) -> str | None:
+    """The first day that the next run reads: the one behind the stored mark."""
+    if not path_exists(spark, mark):
+        return None
+    row = read_table(spark, mark).select(F.date_add("processed_until", 1).cast("string")).first()
+    return row[0] if row else None
+
+
 def run_client_job(spark: SparkSession, client_path: str, geo_ranges: DataFrame,
-                   out: ClientOutputs, since: str | None = None) -> None:
+                   out: ClientOutputs, since: str | None = None, full: bool = False) -> None:
     """A1 -> (A2, A8/A10), A3-A6, A15 from the landed client table.
 
-    ``since`` (a day, from the high-water mark A9) limits the rebuild to the
-    days from ``since`` on; A2 reads 30 more days back so the trailing
-    windows of those days are complete.
+    A run reads the raw rows from ``since`` on (default: the day behind the
+    mark that the last run stored; ``full`` or a first run: all). Daily tables
+    (user-days, URLs of users, basics, retention, playbacks) replace those days
+    only; A2 reads 30 more days of stored user-days so that trailing windows are
+    complete; first days are a log, one partition per run, whose minimum holds.
+    Every write may be repeated, and the mark moves last, so a run that died
+    is simply run again.
     """
-    rows = scan(spark, client_path).withColumnRenamed("appId", "app_id")
-    # A1 over the look-back range, written once and read back.
-    write_table(user_day(_since(rows, since, activity.HORIZON)), out.user_day,
-                partition_by="date", mode="overwrite")
+    since = None if full else since or stored_since(spark, out.mark)
+    rows = _since(scan(spark, client_path).withColumnRenamed("appId", "app_id"), since)
+    if since and not path_exists(spark, out.user_day):
+        raise ValueError("no stored user-days before 'since': make a full run first")
+    write_table(user_day(rows), out.user_day, partition_by="date", mode="overwrite")
     days = spark.read.parquet(out.user_day)
-    basics = activity.active_users_interval(user_day_dims(_since(days, since, activity.HORIZON),
-                                                          geo_ranges))
+    new_days = _since(days, since)
+    basics = activity.active_users_interval(user_day_dims(_since(days, since, activity.HORIZON), geo_ranges))
     write_table(_since(basics, since), out.basics, partition_by="date", mode="overwrite")
-    # Retention needs every user's first day: it reads all user-days.
-    write_table(retention.retention(days), out.retention, mode="overwrite")
-    write_table(funnel.open_distribution(rows), out.report_opens, mode="overwrite")
-    pairs = funnel.distinct_steps(rows)
-    if out.step_pairs:
-        # The funnel reads the (user, step) pairs twice (reach, then the
-        # ordered lists): write them once so the URL parse runs once.
-        write_table(pairs, out.step_pairs, mode="overwrite")
-        pairs = spark.read.parquet(out.step_pairs)
-    write_table(funnel.funnel_paths(pairs), out.funnels, mode="overwrite")
-    write_table(logs.video_playbacks(_since(rows, since)), out.video_playbacks,
-                partition_by="date", mode="overwrite")
+
+    seen = activity.first_visit(new_days).withColumn("_since", F.lit(since or "all"))
+    write_table(seen, out.first_visits, partition_by="_since", mode="overwrite" if since else "replace")
+    first = spark.read.parquet(out.first_visits).groupBy("uid").agg(F.min("earliest_date").alias("earliest_date"))
+    write_table(retention.retention_since(new_days, first), out.retention, partition_by="date", mode="overwrite")
+
+    write_table(funnel.user_urls(rows, by=["date"]), out.user_urls, partition_by="date", mode="overwrite")
+    urls = spark.read.parquet(out.user_urls)
+    write_table(funnel.open_distribution(urls, counted=True), out.report_opens, mode="overwrite")
+    write_table(funnel.funnel_paths(funnel.user_steps(urls, counted=True)), out.funnels, mode="overwrite")
+    write_table(logs.video_playbacks(rows), out.video_playbacks, partition_by="date", mode="overwrite")
+    write_table(activity.high_water_mark(days), out.mark, mode="overwrite")
 
 
 @dataclass
