@@ -9,8 +9,8 @@ nested-loop join. Two forms are provided.
   Each IP meets only the few ranges of its own block, so the work is linear
   in (#IPs + #range blocks); nothing has to fit in memory, and AQE still
   broadcasts the range side when its *measured* size is small.
-* ``broadcast``: broadcast nested loop over the ranges. Only for range
-  tables whose size is known to be small (unit fixtures, tiny dims).
+* ``broadcast``: broadcast nested loop over the ranges, for small range
+  tables; the number of ranges is checked first (``MAX_BROADCAST_RANGES``).
 
 Both work on *distinct* IPs first (a hot IP costs one lookup) and join the
 answer back. Overlapping ranges give one answer: the range with the
@@ -25,6 +25,18 @@ from pyspark.sql import functions as F
 from daypulse.functions.net import ip_to_long
 
 UNKNOWN = "unknown"
+#: Fixed value: the largest IPv4 number. A range beyond it is no range of addresses.
+MAX_IPV4 = 4_294_967_295
+#: The ``broadcast`` form takes so many ranges at most (about 100 bytes each).
+MAX_BROADCAST_RANGES = 100_000
+
+
+def valid_range():
+    """Whether ``start_ip``..``end_ip`` is a range of IPv4 numbers. Others are
+    dropped from a lookup: exploded into blocks, one wild end bound would make
+    rows without limit."""
+    return F.coalesce((F.col("start_ip") >= 0) & (F.col("start_ip") <= F.col("end_ip"))
+                      & (F.col("end_ip") <= MAX_IPV4), F.lit(False))
 
 
 def location_label(ranges: DataFrame) -> DataFrame:
@@ -43,9 +55,11 @@ def _best(cands: DataFrame, keys) -> DataFrame:
 
 def _candidates(probes: DataFrame, ranges: DataFrame, strategy: str, bucket_bits: int) -> DataFrame:
     """``probes`` (with ``_ipn``) left-joined with every range holding it."""
-    labelled = location_label(ranges.filter(F.col("start_ip").isNotNull() & F.col("end_ip").isNotNull()))
+    labelled = location_label(ranges.filter(valid_range()))
     inside = (F.col("_ipn") >= F.col("start_ip")) & (F.col("_ipn") <= F.col("end_ip"))
     if strategy == "broadcast":
+        if ranges.limit(MAX_BROADCAST_RANGES + 1).count() > MAX_BROADCAST_RANGES:
+            raise ValueError(f"more than {MAX_BROADCAST_RANGES} ranges: use the bucketed strategy")
         return probes.join(F.broadcast(labelled), inside, "left")
     if strategy == "bucketed":
         blocks = labelled.withColumn(

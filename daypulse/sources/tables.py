@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daypulse.operators.geo import valid_range
+
 _OPS = {
     "=": lambda c, v: c == v, "==": lambda c, v: c == v, "!=": lambda c, v: c != v,
     "<": lambda c, v: c < v, "<=": lambda c, v: c <= v,
@@ -77,12 +79,21 @@ GEO_CSV_SCHEMA = T.StructType([
 
 def geo_from_csv(spark: SparkSession, path: str) -> DataFrame:
     """S8 for the geo dimension: bounds cast to long, columns renamed;
-    rows with a missing or non-numeric bound are dropped."""
+    rows with a missing or non-numeric bound, or one that is no IPv4 range, are
+    dropped (:func:`rejected_geo_rows` gives them)."""
     raw = read_headered_csv(spark, path, GEO_CSV_SCHEMA)
     return (raw.select(F.col("StartIPNum").try_cast("bigint").alias("start_ip"),
                        F.col("EndIPNum").try_cast("bigint").alias("end_ip"),
                        F.col("Country").alias("country"), F.col("Local").alias("local_city"))
-            .filter(F.col("start_ip").isNotNull() & F.col("end_ip").isNotNull()))
+            .filter(valid_range()))
+
+
+def rejected_geo_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV rows that :func:`geo_from_csv` drops, as text."""
+    raw = read_headered_csv(spark, path, GEO_CSV_SCHEMA)
+    bounds = raw.select("*", F.col("StartIPNum").try_cast("bigint").alias("start_ip"),
+                        F.col("EndIPNum").try_cast("bigint").alias("end_ip"))
+    return bounds.filter(~valid_range()).select(*GEO_CSV_SCHEMA.names)
 
 
 def load_or_build_geo(spark: SparkSession, csv_path: str, table_path: str,
