@@ -30,15 +30,14 @@ def _user_urls(rows: DataFrame, counted: bool) -> DataFrame:
 def open_distribution(client_rows: DataFrame, param: str = REPORT_PARAM, counted: bool = False) -> DataFrame:
     """A3: how many (report, user) pairs opened a report n times, by n.
 
-    The report id is a projected column (null when the path does not name
-    a report) rather than a row filter: a filter on a parsed column would
-    be pushed below the projections with the parse inlined into it."""
+    Rows that name no report end before the second shuffle, by a generator
+    over zero or one report id: a filter on a parsed column would be
+    pushed below the projections with the parse inlined into it."""
     parsed = with_url_fields(_user_urls(client_rows, counted), "url", fields=("clean",), urls_only=True)
-    report = F.when(F.col("clean").contains(param), path_param("clean", param))
-    per_pair = (parsed.select(report.alias("report"), "uid", "n")
+    named = F.array_compact(F.array(F.when(F.col("clean").contains(param), path_param("clean", param))))
+    per_pair = (parsed.select(F.explode(named).alias("report"), "uid", "n")
                 .groupBy("report", "uid").agg(F.sum("n").alias("times_opened")))
-    hist = per_pair.groupBy("times_opened").agg(F.count("report").alias("cnt"))
-    return hist.filter(F.col("cnt") > 0).orderBy("times_opened")
+    return per_pair.groupBy("times_opened").agg(F.count(F.lit(1)).alias("cnt")).orderBy("times_opened")
 
 
 def user_steps(client_rows: DataFrame, counted: bool = False) -> DataFrame:
