@@ -1,8 +1,9 @@
 """License notices: fixed phrases, and an exact set-similarity join of text
 blocks with license templates.
 
-A block is a line, or a sentence of a line; its set is that of its words. A
-template is found in a block if the block holds at least ``threshold`` of the
+A block is a line, or a sentence of a line, or a sentence that runs on over line
+ends (a notice wrapped at 70 columns); a line without a word, or of over 120
+characters, is no part of such a sentence and ends it. Its set is that of its words. A template is found in a block if the block holds at least ``threshold`` of the
 template's distinct words. The join orders the templates' words by how often
 they occur in all documents, rarest first. A block that reaches the threshold
 for a template of n words, needing k of them, must hold one of its n - k + 1
@@ -45,8 +46,11 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 THRESHOLD = 0.8
+#: Characters of a line that may go on in the next one.
+WRAPPED = 120
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD, WORD_ANY_CASE = r"[0-9a-z\x{80}-\x{10FFFF}]+", r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+_LINE_END, _NO_WORD = r"(?>\r\n|\r|\n)", r"[^\r\n0-9A-Za-z\x{80}-\x{10FFFF}]"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
@@ -55,8 +59,11 @@ def words(text: Column) -> Column:
 
 
 def blocks(text: Column) -> Column:
-    """Lines, and sentences within them."""
-    return F.split(F.regexp_replace(text, r"([.!?])[ \t\r\n]+", "$1\n"), r"[\r\n]+")
+    """Lines and sentences within them, then the sentences over several lines."""
+    lines = F.split(F.regexp_replace(text, r"([.!?])[ \t\r\n]+", "$1\n"), r"[\r\n]+")
+    wrapped = F.regexp_replace(text, rf"[^\r\n]{{{WRAPPED + 1},}}", "")  # a longer line is not a wrapped one
+    runs = F.split(wrapped, rf"(?<=[.!?])[ \t\r\n]+|{_LINE_END}{_NO_WORD}*{_LINE_END}")
+    return F.concat(lines, F.filter(runs, lambda b: b.rlike(r"[^\r\n][\r\n]+[^\r\n]")))
 
 
 def _has_any(text: Column, vocabulary) -> Column:

@@ -92,3 +92,28 @@ def test_hamming_odd_rows(spark, k):
     names, want = oracle("op4_multi_index_hashing", embeddings=[(i, v, 1) for i, v in rows])
     assert rows_of(got.select(*names)) == [w for w in want if w[names.index("rank")] <= k]
     assert hamming_search.top_k(codes.limit(0), codes.where("id % 50 = 0"), k=k).collect() == []
+
+
+MIT = ('Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation '
+       'files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use it.')
+GPL = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as "
+       "published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.")
+BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following "
+       "conditions are met:")
+UNLICENSE = "This is free and unencumbered software released\ninto the public domain."
+
+
+def test_license_wrapped_notices(spark):
+    """Expected labels are written by hand: the SQL knows one-line blocks only."""
+    def framed(t, mark):
+        return "\n".join(mark + x for x in ["x.py", "", *t.split("\n"), "", "more"])
+
+    cases = [(MIT, "mit"), (GPL, "gpl-3"), (BSD, "bsd-3"), (UNLICENSE, "unlicense"), (GPL.replace("\n", "\r\n"), "gpl-3"),
+             (framed(MIT, "# "), "mit"), (framed(BSD, " * "), "bsd-3"), ("Some prose.\n" + UNLICENSE + " Next one.", "unlicense"),
+             (MIT + "\n\n" + GPL, "gpl-3,mit"), (UNLICENSE.replace("software", "software.\n"), ""),
+             ("mit " + "wort " * 40 + "\nLicensed under the Apache License, Version 2.0.", "apache-2"),
+             (BSD.replace("\n", "\n\n"), ""), (BSD.replace("\n", "\r\n\r\n"), ""), (BSD.replace("\n", "\n # \n"), "")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs).collect()}
+    assert {i: got[i][0] for i in got} == {i: want for i, (_, want) in enumerate(cases)}
+    assert all(got[i][1] >= 0.8 for i, (_, want) in enumerate(cases) if want)
