@@ -9,8 +9,9 @@ rejected when that cosine is below the floor for its length: the smallest
 cosine that a share ``1 - reject`` of the training texts of like length reach,
 times ``slack``.
 
-The fit uses at most about ``sample`` labelled rows a language (a hash of the
-id decides, so the sample is the same on every run); prediction reads whole
+The fit uses at most about ``sample`` labelled rows a language (a hash of id and
+text decides, so the sample is the same on every run; equal rows count once);
+prediction reads whole
 texts of all rows.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
@@ -137,16 +138,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", label:
     """Learn from rows with a label; the features of at most about ``sample``
     rows a language come to the driver as sparse counts."""
     share_code(labelled.sparkSession)
-    rows = labelled.select(F.xxhash64(F.lit(11), F.col(f"`{id_col}`").cast("string")).alias("h"),
+    rows = labelled.select(F.xxhash64(F.lit(11), F.col(f"`{id_col}`").cast("string"), F.col(f"`{text}`").cast("string")).alias("h"),
                            F.col(f"`{label}`").cast("string").alias("lang"),
                            F.col(f"`{text}`").cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = [(r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()]
+    sizes = [(r["lang"], r["n"]) for r in rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()]
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels: not a language column")
     if not sizes:
         return None
     share = F.create_map(*[F.lit(x) for g, n in sizes for x in (g, min(1.0, sample / n))])
-    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", "text")
+    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    drawn = drawn.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")  # equal rows once
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

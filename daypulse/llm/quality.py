@@ -10,7 +10,7 @@ took no part, and a document's score adds the calibrated log odds of the views
 around the prior.
 
 The fit uses bounded samples, drawn by a hash of the id: about ``sample``
-labelled and ``sample`` unlabelled rows. Scoring reads whole texts of all rows.
+labelled and ``sample`` unlabelled ids, one row of each. Scoring reads whole texts of all rows.
 
 Defined results: a null or empty text has all-zero text features; null
 metadata is a value of its own; several labels of one id count by their mean;
@@ -172,6 +172,14 @@ def _views(docs: DataFrame, keys: list) -> DataFrame:
                        F.col("lang").cast("string").alias("__lang"), F.col("n_chars").cast("long").alias("__chars"))
 
 
+def _one_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each of the keys, combined before it moves: the smallest by
+    a hash, then by its values, so that every run takes the same."""
+    rest = [c for c in rows.columns if c not in keys]
+    least = F.min(F.struct(F.xxhash64(*rest).alias("__hash"), *rest)).alias("__row")
+    return rows.groupBy(*keys).agg(least).select(*keys, *[f"__row.{c}" for c in rest])
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 3_000, **options) -> Model | None:
     """Learn from ``labels`` (doc_id, quality 0 or 1) of ``docs``."""
     share_code(docs.sparkSession)
@@ -186,12 +194,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3_000, **options) -> M
 
     chosen = drawn(marked, n_marked, 21)  # about `sample` rows, so it may be broadcast
     own = docs.where("doc_id IS NOT NULL")
-    taught = _features(_views(own.join(F.broadcast(chosen), "doc_id"), ["doc_id", "y"]), ["doc_id", "y"]).toPandas()
+    taught = _features(_one_each(_views(own.join(F.broadcast(chosen), "doc_id"), ["doc_id", "y"]), ["doc_id", "y"]),
+                       ["doc_id", "y"]).toPandas()
     pool_ids = drawn(own.select("doc_id"), n_docs, 22).distinct().join(marked, "doc_id", "left_anti")
-    pool = _features(_views(own.join(F.broadcast(pool_ids), "doc_id"), ["doc_id"]), ["doc_id"]).toPandas()
+    pool = _features(_one_each(_views(own.join(F.broadcast(pool_ids), "doc_id"), ["doc_id"]), ["doc_id"]), ["doc_id"]).toPandas()
     if taught.empty:
         return None
-    taught, pool = (f.sort_values("doc_id", kind="stable").drop_duplicates("doc_id") for f in (taught, pool))
+    taught, pool = (f.sort_values("doc_id", kind="stable") for f in (taught, pool))
 
     def matrix(f, c, dims):
         return np.array(f[c].tolist(), np.float32).reshape(-1, dims)

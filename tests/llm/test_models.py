@@ -92,6 +92,33 @@ def test_views_teach_each_other():
     assert taught.meta[1] - taught.meta[0] > 1
 
 
+def test_fits_collect_one_row_for_each_id(spark, monkeypatch):
+    """One id with most of the rows, labelled or not, and equal rows without an id."""
+    texts = [(i, f"words of text {i} " * 3, "en", "a") for i in range(40)]
+    hot = [(7, "a hot labelled row", "en", "a")] * 300 + [(30, "a hot row of the pool", "en", "a")] * 300
+    docs = docs_frame(spark, texts + hot + [(None, "no id but equal", "en", "a")] * 300)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(20)], "doc_id long, quality int")
+    frames, features, iterate = [], quality._features, type(docs).toLocalIterator
+
+    def seen(rows, keys):
+        frames.append(rows)
+        return features(rows, keys)
+
+    monkeypatch.setattr(quality, "_features", seen)
+    assert quality.fit(docs, labels) is not None
+    assert [f.count() for f in frames] == [20, 20]
+    monkeypatch.undo()
+    brought = []
+
+    def counted(self, *a, **b):
+        brought.extend(iterate(self, *a, **b))
+        return iter(brought)
+
+    monkeypatch.setattr(type(docs), "toLocalIterator", counted)
+    assert language_id.fit(docs).languages == ["en"]
+    assert len(brought) == 43
+
+
 # --- mixing ---------------------------------------------------------------
 
 def brute_exponent(tokens, budget, entropy, limit):
