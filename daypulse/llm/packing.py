@@ -21,7 +21,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from daypulse.llm.storage import materialise, share_code
-from daypulse.llm.tokens import default_tokenizer, encoder
+from daypulse.llm.tokens import default_tokenizer, document_crc, encoder, with_end
+
+
+def cuts(size: np.ndarray, capacity: int) -> tuple[np.ndarray, ...]:
+    """(row, piece, start, length) of all pieces of documents of these sizes,
+    in order; a document's first piece takes the remainder."""
+    pieces = -(-size // capacity)
+    row = np.repeat(np.arange(len(size)), pieces)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    end = ((size - 1) % capacity + 1)[row] + piece * capacity
+    start = np.where(piece > 0, end - capacity, 0)
+    return row, piece, start, end - start
 
 
 def cut_into_pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, id_col: str = "doc_id",
@@ -45,24 +55,19 @@ def cut_into_pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, seen, task = encoder(tokenizer), np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4")
         for batch in batches:
             for at, ids, ends in coder.batches(batch.column(1)):
-                row, piece, start, length, crc, nth = [], [], [], [], [], []
-                for i in range(len(ends) - 1):
-                    doc = np.concatenate([ids[ends[i]:ends[i + 1]], end])
-                    first = len(doc) % capacity or capacity
-                    view = memoryview(doc).cast("B")
-                    for k, e in enumerate(range(first, len(doc) + 1, capacity)):
-                        s = max(0, e - capacity) if k else 0
-                        row.append(at + i), piece.append(k), start.append(s), length.append(e - s)
-                        crc.append(zlib.crc32(view[4 * s:4 * e]))
-                        nth.append(int(seen[e - s]))
-                        seen[e - s] += 1
+                ids, ends = with_end(ids, ends, end_id)
+                row, piece, start, length = cuts(np.diff(ends), capacity)
+                order = np.argsort(length, kind="stable")
+                group = np.searchsorted(length[order], length[order])  # where a length's pieces begin
+                nth = np.empty(len(order), np.int64)
+                nth[order] = np.arange(len(order)) - group + seen[length[order]]
+                seen += np.bincount(length, minlength=capacity + 1)
+                crc = document_crc(ids, np.append(ends[row] + start, ends[-1]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(row), pa.int32()),
-                     pa.array(nth, pa.int64())],
+                    [batch.column(0).take(pa.array(at + row)), pa.array(piece.astype(np.int32)), pa.array(start),
+                     pa.array(length), pa.array(crc, pa.int64()), pa.array(np.full(len(row), task, np.int32)), pa.array(nth)],
                     names=[id_col, "piece", "start", "length", "ids_crc32", "task", "ord"])
 
     return rows.mapInArrow(run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, task int, ord long")

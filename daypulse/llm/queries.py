@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import (hamming_search, language_id, license_scan, mixing, oracles, packing, quality, simhash, token_files,
-                          url_filter, vector_dedup)
+from daypulse.llm import (conversation_repair, hamming_search, hard_negatives, language_id, license_scan, mixing, oracles, packing,
+                          quality, simhash, token_files, url_filter, vector_dedup, window_packing)
 from daypulse.llm.storage import scratch_path
 
 
@@ -65,10 +65,32 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op11_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.pack_windows(_table(spark, sf_dir, "documents"), capacity=4096, end_id=2)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    report = conversation_repair.repair(conversation_repair.damage(rows)).report().withColumnRenamed("conv_id", "found")
+    ids = rows.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(report, ids.conv_id.eqNullSafe(report.found), "left").select(
+        "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 50 == 0, positives=5, negatives=3, least=0.5,
+                               most=0.95, scale=256.0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_co_training, op2_temperature_mixing, op3_url_language_model, op4_multi_index_hashing, op5_simhash_dedup,
-        op6_token_files, op7_license_scan, op8_nearest_centroid, op9_vector_dedup, op10_best_two_fit)}
+        op6_token_files, op7_license_scan, op8_nearest_centroid, op9_vector_dedup, op10_best_two_fit, op11_sum_of_squares,
+        op12_conversation_repair, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,13 +10,14 @@ writer adds page indexes, so a reader can take the metadata alone, or the pages
 of a few documents, without touching the rest of the tokens.
 
 Defined results: a null text is empty and holds the end id alone; rows with
-equal ids keep one row each, ordered by their text; null ids come first; an
+equal ids keep one row each, ordered by the first 64 characters of their texts,
+then by a hash, then by their place in the input, so an id with a large share of
+all rows lies in several consecutive files; null ids and texts come first; an
 empty table gives files without rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daypulse.llm.storage import share_code
-from daypulse.llm.tokens import default_tokenizer, encoder
+from daypulse.llm.tokens import default_tokenizer, document_crc, encoder, with_end
 
 SCHEMA = "doc_id long, file_no int, first long, n_tokens long, tokens array<int>"
 #: Row groups of at most 64 MB, pages of at most 256 kB or 1,000 documents.
@@ -48,21 +49,22 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_
     """The rows of the files; partition order is id order."""
     share_code(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = ["doc_id", "head", "h", "place"]  # all of a row's text in a range key would go through the driver
+    rows = rows.select("*", F.substring("text", 1, 64).alias("head"), F.xxhash64("text").alias("h"),
+                       F.monotonically_increasing_id().alias("place"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, task, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at, ids, ends in coder.batches(batch.column(1)):
                 n = len(ends) - 1
-                size = np.diff(ends) + 1
-                flat = np.insert(ids, ends[1:], end_id).astype(np.int32)
-                stops = np.cumsum(size)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), pa.array(flat))
+                flat, stops = with_end(ids, ends, end_id)
+                lists = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, n), pa.array(np.full(n, task, np.int32)), pa.array(before + stops - size),
-                     pa.array(size), lists], names=["doc_id", "file_no", "first", "n_tokens", "tokens"])
+                    [batch.column(0).slice(at, n), pa.array(np.full(n, task, np.int32)), pa.array(before + stops[:-1]),
+                     pa.array(np.diff(stops)), lists], names=["doc_id", "file_no", "first", "n_tokens", "tokens"])
                 before += int(stops[-1])
 
     return rows.mapInArrow(run, SCHEMA)
@@ -98,8 +100,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             lists = b.column(3)
             ends = np.asarray(lists.offsets)
-            view = memoryview(np.ascontiguousarray(np.asarray(lists.values).astype("<u4"))).cast("B")
-            crc = [zlib.crc32(view[4 * i:4 * j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            crc = document_crc(np.asarray(lists.values).view(np.uint32), ends)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.diff(ends).astype(np.int64)),
                                               pa.array(crc, pa.int64())],
                                              names=["doc_id", "file_no", "first", "n_tokens", "ids_crc32"])
