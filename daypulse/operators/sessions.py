@@ -55,6 +55,31 @@ def sessions_table(client_rows: DataFrame) -> DataFrame:
     return sessions_with_age(session_datapoints(session_rollup(client_rows)))
 
 
+def sessions_by_gap(rows: DataFrame, gap: str = "30 minutes", time_col: str = "ts", key=None) -> DataFrame:
+    """Sessions of a user by silence: an event belongs to the session of
+    the one before it if it comes at most ``gap`` later. One row a session:
+    combined_id, start_t, end_t (first and last event, epoch ms), events and
+    session_length (ms). Rows without a time, or without an id, are left out.
+
+    The same code runs on a stream with a watermark (see
+    :mod:`daypulse.streaming.sessions`): ``session_window`` merges the
+    windows of a key by sorting them within their partition, after the
+    partial merge on the map side.
+    """
+    key = combined_identity() if key is None else key
+    timed = rows.select(key.alias("combined_id"), F.col(time_col).cast("timestamp").alias("_at")).where(
+        "_at IS NOT NULL AND combined_id IS NOT NULL")
+    return gap_windows(timed, gap)
+
+
+def gap_windows(timed: DataFrame, gap: str) -> DataFrame:
+    """The aggregation of :func:`sessions_by_gap` on (combined_id, _at)."""
+    found = timed.groupBy("combined_id", F.session_window("_at", gap).alias("_w")).agg(
+        F.unix_millis(F.min("_at")).alias("start_t"), F.unix_millis(F.max("_at")).alias("end_t"),
+        F.count(F.lit(1)).alias("events"))
+    return found.select("combined_id", "start_t", "end_t", "events", (F.col("end_t") - F.col("start_t")).alias("session_length"))
+
+
 def snapshot(change_log: DataFrame) -> DataFrame:
     """Current state from an appended log of datapoint states."""
     return change_log.groupBy("date", "combined_id").agg(

@@ -369,6 +369,14 @@ WHERE ci.is_del = 0"""),
     # ------------------------------------------------------------ sessions
     "session_rollup": _with(_CL, SESSIONS, body="SELECT * FROM sess"),
     "session_datapoints": _with(_CL, SESSIONS, body="SELECT * FROM dp"),
+    "sessions_by_gap": _with(_CL, """
+ev AS (SELECT CASE WHEN uid = '' THEN 'tmp_' || _id ELSE uid END AS combined_id, ts FROM client_log),
+marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 3 HOUR THEN 0 ELSE 1 END AS fresh
+  FROM ev WHERE combined_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY combined_id ORDER BY ts)),
+islands AS (SELECT *, SUM(fresh) OVER (PARTITION BY combined_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island FROM marked)""", body="""
+SELECT combined_id, epoch_us(MIN(ts)) // 1000 AS start_t, epoch_us(MAX(ts)) // 1000 AS end_t, COUNT(*) AS events,
+       epoch_us(MAX(ts)) // 1000 - epoch_us(MIN(ts)) // 1000 AS session_length
+FROM islands GROUP BY combined_id, island"""),
     "sessions_with_age": _with(_CL, SESSIONS, body="SELECT * FROM swa"),
     "sessions_snapshot": _with(_CL, SESSIONS, body="SELECT * FROM swa"),
     "new_users": _with(_CL, SESSIONS, body="""

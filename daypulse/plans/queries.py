@@ -33,6 +33,7 @@ SNAPSHOT_CUT = "2024-01-16"
 XAU_DAYS = 7
 DX_DAYS = 1
 TOP_K = 3
+SESSION_GAP = "3 hours"
 
 
 def register(fn: Query) -> Query:
@@ -414,6 +415,12 @@ def session_datapoints(spark, sf_dir):
     return sessions.session_datapoints(sessions.session_rollup(_client(spark, sf_dir)))
 
 
+@register
+def sessions_by_gap(spark, sf_dir):
+    """Sessions by silence."""
+    return sessions.sessions_by_gap(_client(spark, sf_dir), SESSION_GAP)
+
+
 @register
 def sessions_with_age(spark, sf_dir):
     """T5 + J5."""
