@@ -159,6 +159,30 @@ def geo_range(nation: DataFrame, region: DataFrame) -> DataFrame:
                     F.col("r_name").alias("country"), F.col("n_name").alias("local_city")))
 
 
+def any_range(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Ranges of both address families, as 128-bit halves: the disjoint ones of
+    :func:`geo_range`, one a region that overlaps its neighbour, all of IPv4,
+    and an IPv6 block for each nation."""
+    from daypulse.operators import dyadic
+
+    start = F.col("r_regionkey").cast("bigint") * 536870912
+    wide = region.select(start.alias("start_ip"), (start + 1073741823).alias("end_ip"), F.col("r_name").alias("country"),
+                         F.lit("wide").alias("local_city"))
+    world = region.where("r_regionkey = 0").select(F.lit(0).cast("bigint").alias("start_ip"), F.lit(4294967295).alias("end_ip"),
+                                                   F.lit("World").alias("country"), F.lit(None).cast("string").alias("local_city"))
+    four = dyadic.ipv4_ranges(geo_range(nation, region).unionByName(wide).unionByName(world))
+    block = F.concat(F.lit("2001:db8:"), F.lower(F.hex("n_nationkey")))
+    six = nation.select(F.concat(block, F.lit("::")).alias("start"), F.concat(block, F.lit(":ffff" * 5)).alias("end"),
+                        F.lit("Six").alias("country"), F.col("n_name").alias("local_city"))
+    return four.unionByName(dyadic.text_ranges(six))
+
+
+def any_address(events: DataFrame) -> DataFrame:
+    """IPv4 addresses of the client log, and an IPv6 address for each event."""
+    six = F.concat(F.lit("2001:DB8:"), F.hex(F.col("event_id") % 40), F.lit("::"), F.hex("user_id"))
+    return client_log(events).select("ip").unionByName(events.select(six.alias("ip"))).distinct()
+
+
 def class_relation_tables(load) -> list[DataFrame]:
     """The seven tables of J6 (``load(name)`` reads a test table): class_info,
     course, class_grade, grade, subject, class_teacher, user."""
@@ -255,6 +279,21 @@ FROM customer""",
     "subject": "SELECT n_nationkey AS id, n_name AS name FROM nation",
     "class_teacher": "SELECT o_orderkey AS class_id, o_orderkey % 10 AS teacher_usr_id FROM orders",
     "teacher": "SELECT s_suppkey AS id, s_name AS name, '+' || CAST(s_nationkey AS VARCHAR) AS mobile FROM supplier",
+    "any_range": """
+WITH base AS (SELECT n_nationkey::UHUGEINT * 134217728 AS a, n_nationkey::UHUGEINT * 134217728 + 117440511 AS b,
+    concat_ws(' ', r_name, n_name) AS loc FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT r_regionkey::UHUGEINT * 536870912, r_regionkey::UHUGEINT * 536870912 + 1073741823, concat_ws(' ', r_name, 'wide') FROM region
+  UNION ALL SELECT 0::UHUGEINT, 4294967295::UHUGEINT, 'World')
+SELECT a + 281470681743360::UHUGEINT AS start_no, b + 281470681743360::UHUGEINT AS end_no, loc FROM base WHERE b <= 4294967295
+UNION ALL SELECT 536939960::UHUGEINT * 79228162514264337593543950336::UHUGEINT + n_nationkey::UHUGEINT * 1208925819614629174706176::UHUGEINT,
+  536939960::UHUGEINT * 79228162514264337593543950336::UHUGEINT + n_nationkey::UHUGEINT * 1208925819614629174706176::UHUGEINT
+    + 1208925819614629174706175::UHUGEINT, concat_ws(' ', 'Six', n_name) FROM nation""",
+    "any_address": """
+SELECT ip, split_part(ip, '.', 1)::UHUGEINT * 16777216 + split_part(ip, '.', 2)::UHUGEINT * 65536 + split_part(ip, '.', 3)::UHUGEINT * 256
+  + split_part(ip, '.', 4)::UHUGEINT + 281470681743360::UHUGEINT AS no FROM (SELECT DISTINCT ip FROM client_log)
+UNION ALL SELECT DISTINCT '2001:DB8:' || upper(printf('%x', event_id % 40)) || '::' || upper(printf('%x', user_id)),
+  536939960::UHUGEINT * 79228162514264337593543950336::UHUGEINT + (event_id % 40)::UHUGEINT * 1208925819614629174706176::UHUGEINT
+  + user_id::UHUGEINT FROM events""",
     "geo_range": """
 SELECT CAST(n_nationkey AS BIGINT) * 134217728 AS start_ip,
   CAST(n_nationkey AS BIGINT) * 134217728 + 117440511 AS end_ip,

@@ -50,11 +50,11 @@ client_paths AS (
 
 PAGE_PATHS = CLIENT_PATHS.replace("FROM client_log", "FROM page_view")
 
-_IPV4 = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])\.(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]|[0-9])"
-
-
 def _ip_num(x: str) -> str:
-    return (f"CASE WHEN regexp_full_match(coalesce({x}, ''), '{_IPV4}') THEN "
+    """Four parts, each the plain text of a number up to 255; else 0."""
+    plain = "TRY_CAST(p AS BIGINT) BETWEEN 0 AND 255 AND CAST(TRY_CAST(p AS BIGINT) AS VARCHAR) = p"
+    parts = f"string_split(coalesce({x}, ''), '.')"
+    return (f"CASE WHEN len({parts}) = 4 AND len(list_filter({parts}, lambda p: coalesce({plain}, false))) = 4 THEN "
             f"CAST(split_part({x}, '.', 1) AS BIGINT) * 16777216 + CAST(split_part({x}, '.', 2) AS BIGINT) * 65536"
             f" + CAST(split_part({x}, '.', 3) AS BIGINT) * 256 + CAST(split_part({x}, '.', 4) AS BIGINT) ELSE 0 END")
 
@@ -240,6 +240,23 @@ FROM client_paths WHERE clean IS NOT NULL"""),
                                  body="SELECT * FROM basics"),
     "active_users_interval": _with(_CLG, CLIENT_PATHS, GEO, USER_DAY, USER_DIMS, _BASICS,
                                    body="SELECT * FROM basics"),
+    "geo_lookup_dyadic": _with(_CLG, GEO, body="SELECT ip, location FROM geo"),
+    "geo_lookup_any": _with(("client_log", "any_range", "any_address"), body="""
+SELECT ip, coalesce(loc, 'unknown') AS location FROM (
+  SELECT ip, loc, row_number() OVER (PARTITION BY ip ORDER BY start_no DESC NULLS LAST, end_no, loc DESC) AS rn
+  FROM any_address LEFT JOIN any_range ON no BETWEEN start_no AND end_no) WHERE rn = 1"""),
+    "actives_by_bitmap": _with(_CLG, CLIENT_PATHS, USER_DAY, GEO, USER_DIMS, f"""
+valued AS (SELECT date, uid, {', '.join(f"coalesce(CAST({d} AS VARCHAR), 'null') AS {d}" for d in DIMS.split(', '))} FROM ud_dims),
+sets AS (SELECT DISTINCT date, uid, unnest([{{'dim': 'total', 'value': ''}},
+    {{'dim': 'all', 'value': concat_ws('|', {DIMS})}},
+    {', '.join(f"{{'dim': '{d}', 'value': {d}}}" for d in DIMS.split(', '))}]) AS s FROM valued),
+moved AS (SELECT date + CAST(off AS INTEGER) AS day, off, uid, s FROM sets, (SELECT unnest(range(0, 31)) AS off))""", body="""
+SELECT day AS date, s.dim AS dim, s.value AS value, COUNT(DISTINCT CASE WHEN off < 1 THEN uid END) AS dau,
+       COUNT(DISTINCT CASE WHEN off < 8 THEN uid END) AS wau, COUNT(DISTINCT uid) AS mau
+FROM moved GROUP BY ALL"""),
+    "url_reach_sketched": _with(_CL, body="""
+SELECT url, COUNT(DISTINCT coalesce(nullif(uid, ''), _id)) AS users, TRUE AS within_bound FROM client_log
+WHERE url IS NOT NULL AND date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY url"""),
     "active_users_total": _with(_CL, CLIENT_PATHS, USER_DAY, """
 copies AS (SELECT u.*, o.off, u.date + CAST(o.off AS INTEGER) AS day
            FROM ud u, (SELECT unnest(range(0, 31)) AS off) o)""", body="""

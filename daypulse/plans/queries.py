@@ -18,7 +18,7 @@ from daypulse import schemas
 from daypulse.functions import labels
 from daypulse.functions.net import ip_to_long
 from daypulse.functions.urls import decode_url, path_param, with_url_fields
-from daypulse.operators import activity, bi, commerce, funnel, geo, logs, retention, sessions
+from daypulse.operators import activity, bi, commerce, distinct_store, dyadic, funnel, geo, logs, retention, sessions
 from daypulse.operators.agents import UA_FIELDS, parse_user_agents
 from daypulse.operators.identity import combined_identity, funnel_identity
 from daypulse.operators.user_day import user_day, user_day_dims
@@ -231,6 +231,20 @@ def geo_lookup_bucketed(spark, sf_dir):
     return _geo_query(spark, sf_dir, "bucketed")
 
 
+@register
+def geo_lookup_dyadic(spark, sf_dir):
+    """J1 (c): aligned prefixes, the IPv4 ranges of the other two."""
+    ranges = dyadic.ipv4_ranges(_geo(spark, sf_dir))
+    return dyadic.locate(_client(spark, sf_dir).select("ip"), ranges)
+
+
+@register
+def geo_lookup_any(spark, sf_dir):
+    """J1 (c): IPv4 and IPv6, with ranges that overlap and one of all IPv4."""
+    ranges = fx.any_range(_t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region"))
+    return dyadic.locate(fx.any_address(_t(spark, sf_dir, "events")), ranges)
+
+
 # ------------------------------------------------------ user-day, actives
 @register
 def user_day_query(spark, sf_dir):
@@ -256,6 +270,26 @@ def active_users_total(spark, sf_dir):
     return activity.active_users_total(_user_days(spark, sf_dir))
 
 
+@register
+def actives_by_bitmap(spark, sf_dir):
+    """A2 + B9 from day bitmaps: in total, by each dimension, by all."""
+    days = _user_dims(spark, sf_dir)
+    return distinct_store.actives(distinct_store.day_bitmaps(days, distinct_store.number_users(days)))
+
+
+@register
+def url_reach_sketched(spark, sf_dir):
+    """A5 + B8 over a range of days from day sketches, beside the exact
+    counts: whether each estimate keeps its stated bound."""
+    rows = _client(spark, sf_dir).select("date", funnel_identity().alias("uid"), "url")
+    found = distinct_store.reach(distinct_store.day_sketches(rows, "url"), DATE_FROM, DATE_TO)
+    own = rows.where(F.col("date").between(F.lit(DATE_FROM).cast("date"), F.lit(DATE_TO).cast("date")) & F.col("url").isNotNull())
+    exact = own.distinct().groupBy("url").agg(F.count_distinct("uid").alias("users"))
+    off = F.abs(F.col("estimate") - F.col("users"))
+    return exact.join(found.select(F.col("step").alias("url"), F.col("users").alias("estimate")), "url").select(
+        "url", "users", (off <= F.greatest(F.lit(1), F.col("users") * distinct_store.error_bound())).alias("within_bound"))
+
+
 @register
 def first_visit(spark, sf_dir):
     """A8."""
