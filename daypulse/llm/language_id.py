@@ -15,9 +15,11 @@ prediction reads whole
 texts of all rows.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
-and rejected; rows with equal texts get equal results; with no labelled row
-every text is ``und``; an empty table gives an empty table; ids, labels and
-sources are no inputs of a prediction; other columns are ignored.
+and rejected; rows with equal texts get equal results; of equal cosines the
+language that comes first in the alphabet is taken, and a cosine equal to its
+floor is kept; texts of any length are taken whole, a slice at a time; with no
+labelled row every text is ``und``; an empty table gives an empty table; ids,
+labels and sources are no inputs of a prediction; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,22 +48,22 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     if not text:
         return None
     total = np.zeros(DIMS, np.int64)
-    some = False
-    for at in range(0, len(text), SLICE_CHARS):
-        part = text[at:at + SLICE_CHARS].lower()
-        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    some, low = False, text.lower()
+    before = np.array([32], np.uint32)  # the last two characters counted, so that a slice ends no word
+    for at in range(0, len(low), SLICE_CHARS):
+        codes = np.frombuffer(low[at:at + SLICE_CHARS].encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters(codes)
-        if not letter.any():
-            continue
-        some = True
-        codes = np.where(letter, codes, np.uint32(32))
-        codes = np.concatenate([[np.uint32(32)], codes, [np.uint32(32)]])
+        some = some or bool(letter.any())
+        last = [np.array([32], np.uint32)] if at + SLICE_CHARS >= len(low) else []
+        codes = np.concatenate([before, np.where(letter, codes, np.uint32(32)), *last])
         codes = codes[np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])]  # one break between words
+        old = len(before)
         one = codes * _MIX[0]
         two = (one[:-1] ^ (one[:-1] >> np.uint32(15))) * _MIX[1] + codes[1:] * _MIX[2]
         three = (two[:-1] ^ (two[:-1] >> np.uint32(13))) * _MIX[0] + codes[2:] * _MIX[1]
-        for h in (one[codes != 32], two, three):
+        for h in (one[old:][codes[old:] != 32], two[old - 1:], three[max(0, old - 2):]):
             total += np.bincount((h ^ (h >> np.uint32(16))) & np.uint32(DIMS - 1), minlength=DIMS)
+        before = codes[-2:]
     return total if some else None
 
 
@@ -147,7 +149,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", label:
     if not sizes:
         return None
     share = F.create_map(*[F.lit(x) for g, n in sizes for x in (g, min(1.0, sample / n))])
-    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    drawn = rows.where(F.shiftrightunsigned("h", 1).cast("double") < share[F.col("lang")] * float(1 << 63))
     drawn = drawn.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")  # equal rows once
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,8 +221,10 @@ def keep_known(docs: DataFrame, model: Model | None, text: str = "text") -> Data
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(~judge(b.column(at), model)[2]))
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                b = batch.slice(k, 500)
+                yield b.filter(pa.array(~judge(b.column(at), model)[2]))
 
     return docs.mapInArrow(run, docs.schema)
 

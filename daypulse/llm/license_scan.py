@@ -2,9 +2,12 @@
 blocks with license templates.
 
 A block is a line, or a sentence of a line, or a sentence that runs on over line
-ends (a notice wrapped at 70 columns); a line without a word, or of over 120
-characters, is no part of such a sentence and ends it. Its set is that of its words. A template is found in a block if the block holds at least ``threshold`` of the
-template's distinct words. The join orders the templates' words by how often
+ends, whatever the lines' lengths; a line without a word ends it, so no block
+goes over a paragraph's end. Its set is that of its words. A template is found
+in a block if the block holds at least ``threshold`` of the template's distinct
+words; in a sentence over line ends they must stand within a stretch of
+``SPREAD`` times as many words as the template has, so that a word far off does
+not complete a notice. The join orders the templates' words by how often
 they occur in all documents, rarest first. A block that reaches the threshold
 for a template of n words, needing k of them, must hold one of its n - k + 1
 rarest (prefix filter), must have k words (length filter), and, with its first
@@ -46,8 +49,8 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 THRESHOLD = 0.8
-#: Characters of a line that may go on in the next one.
-WRAPPED = 120
+#: Words of a sentence over line ends, for each distinct word of a template, that the template's words must stand within.
+SPREAD = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD, WORD_ANY_CASE = r"[0-9a-z\x{80}-\x{10FFFF}]+", r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 _LINE_END, _NO_WORD = r"(?>\r\n|\r|\n)", r"[^\r\n0-9A-Za-z\x{80}-\x{10FFFF}]"
@@ -61,8 +64,7 @@ def words(text: Column) -> Column:
 def blocks(text: Column) -> Column:
     """Lines and sentences within them, then the sentences over several lines."""
     lines = F.split(F.regexp_replace(text, r"([.!?])[ \t\r\n]+", "$1\n"), r"[\r\n]+")
-    wrapped = F.regexp_replace(text, rf"[^\r\n]{{{WRAPPED + 1},}}", "")  # a longer line is not a wrapped one
-    runs = F.split(wrapped, rf"(?<=[.!?])[ \t\r\n]+|{_LINE_END}{_NO_WORD}*{_LINE_END}")
+    runs = F.split(text, rf"(?<=[.!?])[ \t\r\n]+|{_LINE_END}{_NO_WORD}*{_LINE_END}")
     return F.concat(lines, F.filter(runs, lambda b: b.rlike(r"[^\r\n][\r\n]+[^\r\n]")))
 
 
@@ -89,6 +91,12 @@ def base(rows: DataFrame, phrases=PHRASES) -> DataFrame:
         x for label, p in phrases.items() for x in (F.lit(label), _phrase_places(text, p, F.col("found")))]))).drop("found")
 
 
+def _together(text: Column, template: Column, need: Column) -> Column:
+    """Whether a stretch of a text's words holds enough of a template's words."""
+    return F.exists(F.sequence(F.lit(1), F.size(text)), lambda i: F.size(
+        F.array_intersect(F.slice(text, i, SPREAD * F.size(template)), template)) >= need)
+
+
 def _rarest_first(rows: DataFrame, vocabulary: list[str]) -> list[str]:
     """The templates' words by how often they stand between spaces in all
     documents (then by the alphabet); one row for each comes to the driver."""
@@ -108,22 +116,25 @@ def similarity_join(rows: DataFrame, key: list[str], templates=TEMPLATES, thresh
     need = [ceil(threshold * len(s) - 1e-9) for s in sets]
     ordered = [sorted(rank[w] for w in s) for s in sets]
     prefix = [(order[r], r, t, p) for t, s in enumerate(ordered) for p, r in enumerate(s[:len(s) - need[t] + 1])]
-    index = spark.createDataFrame([(r, t, p, need[t], ordered[t]) for _, r, t, p in prefix],
-                                  "rank int, template int, p int, need int, ranks array<int>")
+    index = spark.createDataFrame([(r, t, p, need[t], ordered[t], sets[t]) for _, r, t, p in prefix],
+                                  "rank int, template int, p int, need int, ranks array<int>, words array<string>")
     ranks = F.create_map(*[F.lit(x) for w, n in rank.items() for x in (w, n)])
     hit = rows.where(_has_any(F.col("text"), {w for w, *_ in prefix}))
     split = hit.select(*key, F.posexplode(blocks(F.col("text"))).alias("block", "b")).where(
         _has_any(F.col("b"), {w for w, *_ in prefix}))
     own = F.array_sort(F.transform(F.filter(F.array_distinct(words(F.col("b"))), lambda w: w.isin(order)),
                                    lambda w: F.element_at(ranks, w)))
-    split = split.select(*key, "block", own.alias("own")).where(F.size("own") >= min(need))  # length filter, for any template
-    probes = split.select(*key, "block", "own", F.posexplode("own").alias("q", "rank"))
+    over = F.when(F.col("b").rlike("[\r\n]"), F.col("b")).alias("over")
+    split = split.select(*key, "block", over, own.alias("own")).where(F.size("own") >= min(need))  # length filter, for any template
+    probes = split.select(*key, "block", "over", "own", F.posexplode("own").alias("q", "rank"))
     found = probes.join(F.broadcast(index), "rank")
     left = 1 + F.least(F.size("ranks") - F.col("p") - 1, F.size("own") - F.col("q") - 1)
     found = found.where((F.size("own") >= F.col("need")) & (left >= F.col("need")))
     first = F.element_at(F.array_intersect("ranks", "own"), 1) == F.col("rank")
     both = F.size(F.array_intersect("ranks", "own"))
-    return found.where(first & (both >= F.col("need"))).select(*key, "block", "template", (both / F.size("ranks")).alias("score"))
+    found = found.where(first & (both >= F.col("need")))
+    return found.where(F.col("over").isNull() | _together(words(F.col("over")), F.col("words"), F.col("need"))).select(
+        *key, "block", "template", (both / F.size("ranks")).alias("score"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", phrases=PHRASES, templates=TEMPLATES,

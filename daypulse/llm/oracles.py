@@ -85,9 +85,14 @@ def _licenses() -> str:
     t(label, words, need) AS (VALUES {templates}),
     ws AS (SELECT r, doc_id, regexp_extract_all(translate(text, {_LOW}), '{lic.WORD}') AS w FROM d),
     p AS (SELECT r, doc_id, len(w) AS n_words, {', '.join(f'{places(ph)} AS p{i}' for i, (_, ph) in enumerate(phrases))} FROM ws),
-    bl AS (SELECT r, unnest(regexp_split_to_array(regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1\n', 'g'), '[\\r\\n]+')) AS b FROM d),
-    bw AS (SELECT r, list_distinct(regexp_extract_all(translate(b, {_LOW}), '{lic.WORD}')) AS w FROM bl),
-    m AS (SELECT r, label, len(list_intersect(w, words)) AS n, need, len(words) AS size FROM bw, t),
+    bl AS (SELECT r, false AS over, unnest(regexp_split_to_array(regexp_replace(text, '([.!?])[ \\t\\r\\n]+', '\\1\n', 'g'), '[\\r\\n]+')) AS b
+      FROM d UNION ALL SELECT r, true, unnest(regexp_split_to_array(regexp_replace(replace(replace(text, '\r\n', '\n'), '\r', '\n'),
+        '([.!?])[ \\t\\n]+', '\\1\n\n', 'g'), '\n[^\\n0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]*\n')) FROM d),
+    bw AS (SELECT r, over, regexp_extract_all(translate(b, {_LOW}), '{lic.WORD}') AS w FROM bl),
+    m0 AS (SELECT r, over, w, label, words, len(list_intersect(list_distinct(w), words)) AS n, need, len(words) AS size FROM bw, t),
+    m AS (SELECT * FROM m0 WHERE n >= need AND CASE WHEN over AND n >= need THEN
+      len(list_filter(range(1, len(w) + 1), lambda i: len(list_intersect(list_distinct(w[i:i + {lic.SPREAD} * size - 1]), words)) >= need)) > 0
+      ELSE true END),
     f AS (SELECT r, list(DISTINCT label) AS more, max(n / size::DOUBLE) AS best FROM m WHERE n >= need GROUP BY r),
     a AS (SELECT p.*, more, best, list_concat({', '.join(f'p{i}' for i in range(len(phrases)))}) AS spots,
       list_filter([{', '.join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, (label, _) in enumerate(phrases))}], lambda x: x IS NOT NULL) AS mine

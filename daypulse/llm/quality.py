@@ -3,35 +3,45 @@
 The text view sees shares of bytes, of runs of three character classes, and
 how often words and lines repeat; the metadata view sees the source, the
 language and the length. Each is a ridge logistic regression. Per round, each
-view scores a pool of unlabelled rows and hands its most confident ones, at
-most ``grow`` a class and only beyond ``confident``, to the other view's
-training rows. Both views are then calibrated (Platt) on labelled rows that
-took no part, and a document's score adds the calibrated log odds of the views
-around the prior.
-
-The fit uses bounded samples, drawn by a hash of the id: about ``sample``
-labelled and ``sample`` unlabelled ids, one row of each. Scoring reads whole texts of all rows.
+view scores every unlabelled row in Spark, and all rows that it is confident of
+(log odds beyond ``confident``) become labelled rows of the other view, which is
+fitted anew; the next round's scores take the place of the last one's. Both
+views are then calibrated (Platt) on labelled rows that took no part, and a
+document's score adds the calibrated log odds of the views around the prior.
+The score below which a document is rejected is the one that errs least on those
+rows, a lost good row counting as ``dear`` kept bad ones, so a few wrong labels
+at the end of one class do not move it.
+
+A fit takes bounded samples of labelled rows, the first by a hash of their ids:
+``sample`` ids with a given label, as many more for calibration, and of the
+rows that a view is confident of at most ``sample / 2`` a class, with weights: all
+confident rows of a class together weigh as many rows as there are, at most as
+many as the labelled ones of that class. Everything else reads whole texts of
+all rows.
 
 Defined results: a null or empty text has all-zero text features; null
 metadata is a value of its own; several labels of one id count by their mean;
-labels without a document and documents without a label are allowed; with
-labels of less than two classes there is no model, every score is 0.5 and every
-row is kept; repeated rows get equal scores; an empty table gives an empty
-table; other columns are ignored.
+labels without a document and documents without a label are allowed, rows
+without an id are unlabelled; with labels of less than two classes in either
+sample there is no model, every score is 0.5 and every row is kept; a score equal
+to the threshold is kept; repeated rows get equal scores; a text of any length is
+taken whole, at some 60 bytes a word; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daypulse.llm.storage import share_code
+from daypulse.llm.storage import materialise, share_code
 
 #: lower, upper, digit, blank, line end, mark, other byte, control
 _CLASS = np.array([3 if c in (32, 9) else 4 if c in (10, 13) else 7 if c < 32 or c == 127 else 2 if 48 <= c <= 57 else
@@ -71,16 +81,17 @@ def meta_features(source: str | None, lang: str | None, n_chars: int | None) ->
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 12, weight: np.ndarray | None = None) -> np.ndarray:
     """Weights (the last is the intercept, not shrunk) by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(float)
+    each = np.ones(len(x)) if weight is None else weight
     w = np.zeros(x.shape[1])
     shrink = np.full(x.shape[1], ridge)
     shrink[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x
-        step = np.linalg.solve(h + np.diag(shrink), x.T @ (p - y) + shrink * w)
+        h = (x * (each * (p * (1 - p) + 1e-6))[:, None]).T @ x
+        step = np.linalg.solve(h + np.diag(shrink), x.T @ (each * (p - y)) + shrink * w)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -110,46 +121,61 @@ class Model:
         return tuple(1 / (1 + np.exp(-z)) for z in (both, np.clip(a, -30, 30), np.clip(b, -30, 30)))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray,
-             rounds: int = 4, grow: int = 200, confident: float = 0.98, lost: float = 0.002) -> Model | None:
-    """Learn from labelled rows and a pool; every fourth labelled row is kept
-    for calibration. ``lost``: the share of good rows that the threshold may
-    reject among them."""
-    hold = np.arange(len(y)) % 4 == 3
-    if len(set(y[~hold].tolist())) < 2 or len(set(y[hold].tolist())) < 2:
+@dataclass
+class Sure:
+    """What a view is confident of: features of a bounded number of rows a
+    class, their labels, and how many rows of classes 0 and 1 there are."""
+
+    text: np.ndarray
+    meta: np.ndarray
+    y: np.ndarray
+    rows: tuple[int, int]
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: tuple[np.ndarray, np.ndarray, np.ndarray],
+             confident_rows: Callable[[list[np.ndarray], float], list[Sure]], rounds: int = 3, confident: float = 0.98,
+             dear: float = 5.0) -> Model | None:
+    """Learn from labelled rows (text, meta, y) and all that the views are
+    confident of. ``confident_rows`` (weights of both views, least log odds)
+    tells that for each view; ``held`` are labelled rows for calibration."""
+    if len(set(y.tolist())) < 2 or len(set(held[2].tolist())) < 2:
         return None
-    views = [text[~hold], meta[~hold]]
-    pools = [pool_text, pool_meta]
-    given: list[dict[int, int]] = [{}, {}]  # pool row -> label, that a view was given by the other
-    w = [logistic(v, y[~hold]) for v in views]
+    views, limit = [text, meta], float(np.log(confident / (1 - confident)))
+    w = [logistic(v, y) for v in views]
+    own = [max(1, int((y == c).sum())) for c in (0, 1)]
     for _ in range(rounds):
-        fresh = 0
-        for a, b in ((0, 1), (1, 0)):
-            z = odds(pools[a], w[a])
-            limit = np.log(confident / (1 - confident))
-            for label, order in ((1, np.argsort(-z, kind="stable")), (0, np.argsort(z, kind="stable"))):
-                sure = [int(i) for i in order if (z[i] >= limit if label else z[i] <= -limit) and int(i) not in given[b]]
-                # in proportion to the classes, so that the prior stays
-                take = max(1, round(grow * float((y[~hold] == label).mean())))
-                given[b].update((i, label) for i in sure[:take])
-                fresh += len(sure[:take])
-        if not fresh:
+        sure = confident_rows(w, limit)
+        if not any(sum(s.rows) for s in sure):
             break
-        for v in (0, 1):
-            at, got = list(given[v]), np.array(list(given[v].values()), float)
-            w[v] = logistic(np.vstack([views[v], pools[v][at]]), np.concatenate([y[~hold], got]))
-    scales = []
-    for v, x in ((0, text[hold]), (1, meta[hold])):
-        z = odds(x, w[v])
-        s = logistic(z[:, None], y[hold], ridge=0.05)
-        scales.append((max(0.0, float(s[0])), float(s[1]) if s[0] > 0 else float(np.log(y[hold].mean() / (1 - y[hold].mean())))))
-    prior = float(np.log(y[hold].mean() / (1 - y[hold].mean())))
+        for b in (0, 1):
+            s = sure[1 - b]  # the other view's
+            if not len(s.y):
+                continue
+            more = (s.text, s.meta)[b]
+            each = [min(s.rows[c], own[c]) / max(1, int((s.y == c).sum())) for c in (0, 1)]
+            weight = np.concatenate([np.ones(len(y)), np.where(s.y == 1, each[1], each[0])])
+            w[b] = logistic(np.vstack([views[b], more]), np.concatenate([y, s.y]), weight=weight)
+    scales, prior = [], float(np.log(held[2].mean() / (1 - held[2].mean())))
+    for v, x in ((0, held[0]), (1, held[1])):
+        s = logistic(odds(x, w[v])[:, None], held[2], ridge=0.05)
+        scales.append((float(s[0]), float(s[1])) if s[0] > 0 else (0.0, prior))
     model = Model(*w, *scales, prior, 0.5)
-    good = model.score(text[hold], meta[hold])[0][y[hold] == 1]
-    model.threshold = float(min(0.5, np.quantile(good, lost)))
+    model.threshold = threshold(model.score(held[0], held[1])[0], held[2], dear)
     return model
 
 
+def threshold(score: np.ndarray, y: np.ndarray, dear: float) -> float:
+    """The cut, at most 0.5, of least cost: ``dear`` for the share of good rows
+    below it, 1 for the share of bad rows that are not. Among equal ones the
+    middle of the widest gap."""
+    at = np.unique(np.concatenate([[0.0], score[score <= 0.5], [0.5]]))
+    cut = (at[1:] + at[:-1]) / 2
+    good, bad = np.sort(score[y == 1]), np.sort(score[y == 0])
+    cost = dear * np.searchsorted(good, cut) / len(good) + 1 - np.searchsorted(bad, cut) / len(bad)
+    best = np.flatnonzero(cost <= cost.min() + 1e-12)
+    return float(cut[best[np.diff(at)[best].argmax()]])
+
+
 def _features(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys and both views' features as float lists."""
 
@@ -158,10 +184,9 @@ def _features(rows: DataFrame, keys: list[str]) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 s = b.slice(at, 500)
-                t = [text_features(x) for x in s.column(k).cast(pa.binary()).to_pylist()]
-                m = [meta_features(*x) for x in zip(*(s.column(k + j).to_pylist() for j in (1, 2, 3)))]
-                yield pa.RecordBatch.from_arrays([*s.columns[:k], *(pa.array([v.tolist() for v in x], pa.list_(pa.float32()))
-                                                                    for x in (t, m))], names=[*keys, "t", "m"])
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+                         for x in _both(*s.columns[k:])]
+                yield pa.RecordBatch.from_arrays([*s.columns[:k], *lists], names=[*keys, "t", "m"])
 
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:len(keys)])
     return rows.mapInArrow(run, f"{head}, t array<float>, m array<float>")
@@ -180,42 +205,86 @@ def _one_each(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(least).select(*keys, *[f"__row.{c}" for c in rest])
 
 
+def _matrix(rows: pa.Table, name: str, dims: int) -> np.ndarray:
+    return rows.column(name).combine_chunks().flatten().to_numpy().reshape(-1, dims)
+
+
+def _taught(docs: DataFrame, chosen: DataFrame, keys: list[str]) -> pa.Table:
+    """Features of one row of each chosen id, in order of the ids."""
+    rows = _views(docs.join(F.broadcast(chosen), "doc_id"), keys)
+    return _features(_one_each(rows, keys), keys).toArrow().sort_by([(k, "ascending") for k in keys])
+
+
+def _sure(docs: DataFrame, labelled: DataFrame, sample: int) -> Callable[[list[np.ndarray], float], list[Sure]]:
+    """Scores all unlabelled rows of docs by both views, each time it is called."""
+    names = ["view", "label", "h", "doc_id"]
+
+    def ask(w: list[np.ndarray], limit: float) -> list[Sure]:
+        rows = _views(docs, ["doc_id"])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, 500):
+                    s = b.slice(at, 500)
+                    t, m = _both(*s.columns[1:])
+                    found = [(v, c, r) for v, x in ((0, t), (1, m)) for z in [odds(x, w[v])]
+                             for c, sure in ((1, z >= limit), (0, z <= -limit)) for r in np.flatnonzero(sure).tolist()]
+                    view, label, place = (pa.array([f[i] for f in found], pa.int32()) for i in range(3))
+                    yield pa.RecordBatch.from_arrays([view, label, s.column(0).take(place)], names=["view", "label", "doc_id"])
+
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        sure = rows.mapInArrow(run, f"view int, label int, doc_id {kind}")
+        # Labelled ids are no unlabelled rows; those without an id are.
+        sure = sure.join(labelled.select("doc_id"), "doc_id", "left_anti")
+        sure = materialise(sure.groupBy("view", "label", "doc_id").agg(F.count(F.lit(1)).alias("n")).withColumn(
+            "h", F.xxhash64(F.lit(23), "doc_id")), "quality-sure")
+        counts = {(r["view"], r["label"]): r["n"] for r in sure.groupBy("view", "label").agg(F.sum("n").alias("n")).collect()}
+        first = None
+        for key in sorted(counts):  # the first rows by their hash, at most `sample` each
+            some = sure.where((F.col("view") == key[0]) & (F.col("label") == key[1]) & F.col("doc_id").isNotNull())
+            some = some.select(*names).orderBy("h", "doc_id").limit(sample)
+            first = some if first is None else first.unionByName(some)
+        empty = Sure(np.zeros((0, TEXT_DIMS)), np.zeros((0, META_DIMS)), np.zeros(0), (0, 0))
+        if first is None:
+            return [empty, empty]
+        got = _taught(docs, first.drop("h"), ["view", "label", "doc_id"])
+        out = []
+        for v in (0, 1):
+            own = got.filter(pc.equal(got.column("view"), v))
+            out.append(Sure(_matrix(own, "t", TEXT_DIMS), _matrix(own, "m", META_DIMS), own.column("label").to_numpy().astype(float),
+                            (counts.get((v, 0), 0), counts.get((v, 1), 0))) if own.num_rows else empty)
+        return out
+
+    return ask
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 3_000, **options) -> Model | None:
     """Learn from ``labels`` (doc_id, quality 0 or 1) of ``docs``."""
     share_code(docs.sparkSession)
     marked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
-        (F.avg("quality") >= 0.5).cast("int").alias("y"))
-    n_marked, n_docs = marked.count(), docs.count()
-    if not n_marked or not n_docs:
+        (F.avg("quality") >= 0.5).cast("int").alias("y")).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    marked = materialise(marked.withColumn("h", F.xxhash64(F.lit(21), "doc_id")), "quality-labels")
+    chosen = marked.orderBy("h", "doc_id").limit(2 * sample)  # so it may be broadcast
+    taught = _taught(docs, chosen.drop("h"), ["doc_id", "y"])
+    if not taught.num_rows:
         return None
+    text, meta, y = _matrix(taught, "t", TEXT_DIMS), _matrix(taught, "m", META_DIMS), taught.column("y").to_numpy().astype(float)
+    held = np.arange(len(y)) % 2 == 1
+    return co_train(text[~held], meta[~held], y[~held], (text[held], meta[held], y[held]), _sure(docs, marked, max(1, sample // 2)), **options)
 
-    def drawn(df, n, seed):
-        return df.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) < min(1.0, sample / n) * (1 << 20))
 
-    chosen = drawn(marked, n_marked, 21)  # about `sample` rows, so it may be broadcast
-    own = docs.where("doc_id IS NOT NULL")
-    taught = _features(_one_each(_views(own.join(F.broadcast(chosen), "doc_id"), ["doc_id", "y"]), ["doc_id", "y"]),
-                       ["doc_id", "y"]).toPandas()
-    pool_ids = drawn(own.select("doc_id"), n_docs, 22).distinct().join(marked, "doc_id", "left_anti")
-    pool = _features(_one_each(_views(own.join(F.broadcast(pool_ids), "doc_id"), ["doc_id"]), ["doc_id"]), ["doc_id"]).toPandas()
-    if taught.empty:
-        return None
-    taught, pool = (f.sort_values("doc_id", kind="stable") for f in (taught, pool))
-
-    def matrix(f, c, dims):
-        return np.array(f[c].tolist(), np.float32).reshape(-1, dims)
-
-    return co_train(matrix(taught, "t", TEXT_DIMS), matrix(taught, "m", META_DIMS), taught["y"].to_numpy(float),
-                    matrix(pool, "t", TEXT_DIMS), matrix(pool, "m", META_DIMS), **options)
+def _both(texts: pa.Array, sources: pa.Array, langs: pa.Array, chars: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Features of both views."""
+    t = np.array([text_features(x.as_py()) for x in texts.cast(pa.binary())], np.float32).reshape(-1, TEXT_DIMS)
+    m = np.array([meta_features(*x) for x in zip(*(c.to_pylist() for c in (sources, langs, chars)))], np.float32)
+    return t, m.reshape(-1, META_DIMS)
 
 
 def judge(texts: pa.Array, sources: pa.Array, langs: pa.Array, chars: pa.Array, model: Model | None) -> np.ndarray:
     """(3, rows): the combined, the text and the metadata score."""
     found = np.full((3, len(texts)), 0.5)
     for at in range(0, len(texts) if model else 0, 500):
-        t = np.array([text_features(x.as_py()) for x in texts.slice(at, 500).cast(pa.binary())])
-        m = np.array([meta_features(*x) for x in zip(*(c.slice(at, 500).to_pylist() for c in (sources, langs, chars)))])
-        found[:, at:at + 500] = model.score(t, m)
+        found[:, at:at + 500] = model.score(*_both(*(c.slice(at, 500) for c in (texts, sources, langs, chars))))
     return found
 
 
@@ -244,7 +313,9 @@ def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept = judge(*b.columns[n:], model)[0] >= least
-            yield pa.RecordBatch.from_arrays(b.columns[:n], names=b.schema.names[:n]).filter(pa.array(kept))
+            for at in range(0, b.num_rows, 500):
+                s = b.slice(at, 500)
+                kept = judge(*s.columns[n:], model)[0] >= least
+                yield pa.RecordBatch.from_arrays(s.columns[:n], names=b.schema.names[:n]).filter(pa.array(kept))
 
     return rows.mapInArrow(run, docs.schema)

@@ -47,8 +47,48 @@ def test_counts_do_not_depend_on_slices(monkeypatch):
     text = "Ein längerer Satz, über 𐐀 viele Wörter. " * 50
     whole = language_id.ngram_counts(text)
     assert whole.sum() > 0 and (language_id.ngram_counts("😀 12") is None)
-    monkeypatch.setattr(language_id, "SLICE_CHARS", 100)
-    assert np.abs(language_id.ngram_counts(text) - whole).sum() <= 12 * (len(text) // 100 + 1)  # n-grams at the seams
+    for n in (100, 1, 2, 3):
+        monkeypatch.setattr(language_id, "SLICE_CHARS", n)
+        assert (language_id.ngram_counts(text) == whole).all()
+
+
+def plain_counts(text):
+    """Counts of the hashed n-grams of words between single breaks, one by one."""
+    low, out = text.lower(), Counter()
+    chars = [ord(c) if c.isalpha() else 32 for c in f" {low} "]
+    chars = [c for k, c in enumerate(chars) if not k or c != 32 or chars[k - 1] != 32]
+    a, b, c = (int(x) for x in language_id._MIX)
+    for k, x in enumerate(chars):
+        one = x * a % 2**32
+        grams = [one] if x != 32 else []
+        if k + 1 < len(chars):
+            two = ((one ^ one >> 15) * b + chars[k + 1] * c) % 2**32
+            grams.append(two)
+            if k + 2 < len(chars):
+                grams.append(((two ^ two >> 13) * a + chars[k + 2] * b) % 2**32)
+        out.update((h ^ h >> 16) % language_id.DIMS for h in grams)
+    return out
+
+
+def test_prediction_equals_one_by_one(spark):
+    """Counts, weights, cosines, floors and ties of op 8 against plain Python."""
+    docs = odd_docs(spark).unionByName(spark.read.parquet(f"{SF}/documents.parquet").limit(60))
+    model = language_id.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    for r in language_id.predict(docs, model, ["doc_id", "text"]).collect():
+        if not any(ch.isalpha() for ch in r.text or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        counts = plain_counts(r.text)
+        assert {int(k): int(v) for k, v in enumerate(language_id.ngram_counts(r.text)) if v} == dict(counts)
+        x = np.zeros(language_id.DIMS)
+        for k, v in counts.items():
+            x[k] = np.log1p(v) * model.idf[k]
+        cosines = model.centroids @ (x / np.linalg.norm(x))
+        best = int(cosines.argmax())
+        assert r.score == pytest.approx(min(1, max(0, cosines[best])), abs=1e-5)
+        assert model.languages[model.owner[best]] == r.lang_pred or np.sort(cosines)[-2] > cosines[best] - 1e-5
+        floor = model.floor[min(12, int(np.log2(sum(counts.values()))))]
+        assert r.rejected == (cosines[best] < floor) or abs(cosines[best] - floor) < 1e-5
 
 
 # --- quality --------------------------------------------------------------
@@ -75,6 +115,23 @@ def test_quality_odd_rows(spark):
     assert quality.score(docs.limit(0), None, ["doc_id"]).collect() == []
 
 
+def in_memory(pool_text, pool_meta, sample=10**9, order=None):
+    """What the Spark pool answers, from arrays; ``order``: rows by their hash."""
+    order = np.arange(len(pool_text)) if order is None else order
+
+    def ask(w, limit):
+        out = []
+        for v, pool in ((0, pool_text), (1, pool_meta)):
+            z = quality.odds(pool, w[v])
+            sure = [order[(z <= -limit)[order]], order[(z >= limit)[order]]]
+            at = np.concatenate([s[:sample] for s in sure]).astype(int)
+            y = np.concatenate([np.full(len(s[:sample]), float(c)) for c, s in enumerate(sure)])
+            out.append(quality.Sure(pool_text[at], pool_meta[at], y, (len(sure[0]), len(sure[1]))))
+        return out
+
+    return ask
+
+
 def test_views_teach_each_other():
     """One view sees the class, the other a hint of it that labelled rows
     alone do not show: pseudo-labels do."""
@@ -86,12 +143,64 @@ def test_views_teach_each_other():
     pa_ = np.eye(2, dtype=np.float32)[py] * 4 + r.normal(0, .1, (400, 2)).astype(np.float32)
     pb = np.zeros((400, 3), np.float32)
     pb[np.arange(400), py] = 1
-    alone = quality.co_train(a, b, y, pa_, pb, rounds=0)
-    taught = quality.co_train(a, b, y, pa_, pb, rounds=4, confident=0.9)
+    held = (a[::4], b[::4], y[::4])
+    alone = quality.co_train(a, b, y, held, in_memory(pa_, pb), rounds=0)
+    taught = quality.co_train(a, b, y, held, in_memory(pa_, pb), rounds=3, confident=0.9)
     assert np.abs(alone.meta[:2]).max() < 1e-6
     assert taught.meta[1] - taught.meta[0] > 1
 
 
+@pytest.mark.parametrize("sample", [40, 400])
+def test_fit_over_all_unlabelled_rows_equals_the_plain_loop(spark, sample):
+    """Scoring and exchange in Spark against arrays: bounded samples cut in
+    at 40 ids, none does at 400; a repeated row counts as often as it is there."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.unionByName(docs.where("doc_id % 5 = 0"))
+    labels = labels.where("doc_id % 3 <> 0")
+    hashes = {r.doc_id: (r.a, r.b) for r in docs.select("doc_id", F.xxhash64(F.lit(21), "doc_id").alias("a"),
+                                                        F.xxhash64(F.lit(23), "doc_id").alias("b")).distinct().collect()}
+    rows = docs.collect()
+    marks = {}
+    for r in labels.collect():
+        if r.quality is not None and r.doc_id in hashes:
+            marks.setdefault(r.doc_id, []).append(r.quality)
+    features = {r.doc_id: (quality.text_features((r.text or "").encode()), quality.meta_features(r.source, r.lang, r.n_chars))
+                for r in rows}
+    own = sorted(sorted(marks, key=lambda i: hashes[i][0])[:2 * sample])
+    y = np.array([float(np.mean(marks[i]) >= 0.5) for i in own])
+    t, m = (np.array([features[i][v] for i in own]) for v in (0, 1))
+    hold = np.arange(len(own)) % 2 == 1
+    pool = [r.doc_id for r in rows if r.doc_id not in marks]
+    ids = sorted(set(pool), key=lambda i: hashes[i][1])
+
+    def ask(w, limit):
+        out = []
+        for v in (0, 1):
+            z = {i: quality.odds(features[i][v][None], w[v])[0] for i in ids}
+            sure = [[i for i in ids if z[i] <= -limit], [i for i in ids if z[i] >= limit]]
+            taken = [(c, i) for c in (0, 1) for i in sorted(sure[c][:sample // 2])]
+            out.append(quality.Sure(*(np.array([features[i][k] for _, i in taken]).reshape(len(taken), -1) for k in (0, 1)),
+                                    np.array([float(c) for c, _ in taken]), tuple(sum(i in set(s) for i in pool) for s in sure)))
+        return out
+
+    options = {"rounds": 2, "confident": 0.8}
+    want = quality.co_train(t[~hold], m[~hold], y[~hold], (t[hold], m[hold], y[hold]), ask, **options)
+    got = quality.fit(docs, labels, sample, **options)
+    assert np.allclose(got.text, want.text, atol=1e-4) and np.allclose(got.meta, want.meta, atol=1e-4)
+    assert got.threshold == pytest.approx(want.threshold, abs=1e-4) and got.prior == want.prior
+    kept = {r.doc_id for r in quality.keep_good(docs, got).select("doc_id").collect()}
+    scores = {i: got.score(f[0][None], f[1][None])[0][0] for i, f in features.items()}
+    assert kept == {i for i, s in scores.items() if s >= got.threshold}
+
+
+def test_threshold_weighs_both_classes():
+    score, y = np.array([.01, .02, .03, .2, .6, .9, .95, .99]), np.array([0, 0, 0, 0, 1, 1, 1, 1])
+    assert quality.threshold(score, y, 5.0) == pytest.approx(0.35)
+    y[0] = 1  # one wrong label far down does not move it
+    assert quality.threshold(np.tile(score, 9), np.concatenate([y, np.tile([0, 0, 0, 0, 1, 1, 1, 1], 8)]), 5.0) == pytest.approx(0.35)
+    assert quality.threshold(np.array([.7, .8]), np.array([0, 1]), 5.0) <= 0.5
+
+
 def test_fits_collect_one_row_for_each_id(spark, monkeypatch):
     """One id with most of the rows, labelled or not, and equal rows without an id."""
     texts = [(i, f"words of text {i} " * 3, "en", "a") for i in range(40)]
@@ -101,12 +210,14 @@ def test_fits_collect_one_row_for_each_id(spark, monkeypatch):
     frames, features, iterate = [], quality._features, type(docs).toLocalIterator
 
     def seen(rows, keys):
-        frames.append(rows)
+        frames.append((rows, keys))
         return features(rows, keys)
 
     monkeypatch.setattr(quality, "_features", seen)
-    assert quality.fit(docs, labels) is not None
-    assert [f.count() for f in frames] == [20, 20]
+    assert quality.fit(docs, labels, confident=0.51) is not None
+    assert frames[0][0].count() == 20 and len(frames) > 1
+    for rows, keys in frames:
+        assert rows.count() == rows.select(*keys).distinct().count() <= 4 * 40
     monkeypatch.undo()
     brought = []
 
@@ -119,6 +230,20 @@ def test_fits_collect_one_row_for_each_id(spark, monkeypatch):
     assert len(brought) == 43
 
 
+def test_filters_keep_whole_rows_and_clashing_columns(spark):
+    docs, labels = (spark.read.parquet(f"{SF_MORE}/{t}.parquet") for t in ("documents", "labels"))
+    extra = docs
+    for name in ("__text", "t", "m", "view", "label", "h", "quality", "rejected", "lang_pred", "score", "n", "y"):
+        extra = extra.withColumn(name, F.concat(F.lit("own "), F.col("doc_id").cast("string")))
+    model, speech = quality.fit(docs, labels, rounds=1), language_id.fit(docs)
+    for kept, scored in ((quality.keep_good(extra.drop("__text"), model), quality.score(docs, model, ["doc_id"])),
+                         (language_id.keep_known(extra, speech), language_id.predict(docs, speech, ["doc_id"]))):
+        want = {r.doc_id for r in scored.collect() if not r.rejected}
+        rows = kept.collect()
+        assert {r.doc_id for r in rows} == want and len(rows) == len(want)
+        assert all(r.quality == r.label == f"own {r.doc_id}" for r in rows)
+
+
 # --- mixing ---------------------------------------------------------------
 
 def brute_exponent(tokens, budget, entropy, limit):

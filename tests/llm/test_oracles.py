@@ -104,7 +104,7 @@ UNLICENSE = "This is free and unencumbered software released\ninto the public do
 
 
 def test_license_wrapped_notices(spark):
-    """Expected labels are written by hand: the SQL knows one-line blocks only."""
+    """Expected labels are written by hand."""
     def framed(t, mark):
         return "\n".join(mark + x for x in ["x.py", "", *t.split("\n"), "", "more"])
 
@@ -117,3 +117,19 @@ def test_license_wrapped_notices(spark):
     got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs).collect()}
     assert {i: got[i][0] for i in got} == {i: want for i, (_, want) in enumerate(cases)}
     assert all(got[i][1] >= 0.8 for i, (_, want) in enumerate(cases) if want)
+
+
+def test_license_notices_at_every_width(spark):
+    """No line length keeps a notice from being found, nor does one long line in it."""
+    import textwrap
+
+    plain = [(" ".join(t.split()), want) for t, want in ((MIT, "mit"), (GPL, "gpl-3"), (BSD, "bsd-3"), (UNLICENSE, "unlicense"))]
+    rows = [(f"{want}-{n}", "x.py\n\n" + "\n".join(textwrap.wrap(t, n)) + "\n\nmore\n") for t, want in plain for n in range(40, 401, 9)]
+    rows += [(f"{want}-one-{k}", "\n".join([*w[:k], " ".join(w[k:k + 4]), *w[k + 4:]]))
+             for t, want in plain for w in [textwrap.wrap(t, 25)] for k in range(len(w))]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan(docs).collect()}
+    assert got == {i: i.rsplit("-one", 1)[0] if "-one" in i else i.rsplit("-", 1)[0] for i, _ in rows}
+    names, want = oracle("op7_license_scan", documents=[(n, t, None, None, None) for n, (_, t) in enumerate(rows)])
+    sql = {w[names.index("doc_id")]: w[names.index("labels")] for w in want}
+    assert {i: got[i] for i, _ in rows} == {i: sql[n] for n, (i, _) in enumerate(rows)}
