@@ -103,8 +103,12 @@ def landed_server_rows(spark: SparkSession, target: str) -> DataFrame:
     fields = [*schemas.SERVER_LOG.fields, T.StructField("date", T.DateType())]
     if not path_exists(spark, target):
         return empty_table(spark, T.StructType(fields))
-    found = spark.read.schema(T.StructType(fields)).parquet(target) if is_path(target) else spark.table(target)
-    return found.select(*[f.name for f in fields])
+    return landed_server_rows_of(spark.read.schema(T.StructType(fields)).parquet(target) if is_path(target) else spark.table(target))
+
+
+def landed_server_rows_of(found: DataFrame) -> DataFrame:
+    """The columns of a server table, without those of the landing."""
+    return found.select(*[f.name for f in schemas.SERVER_LOG.fields], "date")
 
 
 def run_server_job(spark: SparkSession, landed: dict[str, str], out: ServerOutputs, tz: str = "UTC",

@@ -9,6 +9,10 @@ batch replayed after a failure rewrites exactly the partitions it wrote before
 new checkpoint; the run id is the query id kept in the checkpoint, so a new
 checkpoint adds to what an earlier one landed.
 
+With a ``manifest`` a batch is listed once all its targets are written, and
+readers that take listed batches only (:mod:`daypulse.sinks.commits`) see all
+targets of a batch or none, also while it is being written or replayed.
+
 Rows that cannot be landed (not JSON, no or no plausible time, no action) go
 to the quarantine table with the line and a reason, if one is named.
 """
@@ -25,10 +29,9 @@ from pyspark.sql.streaming import StreamingQuery
 from daypulse import schemas
 from daypulse.functions.labels import ROUTES
 from daypulse.operators import logs
+from daypulse.sinks.commits import BATCH_COL, RUN_COL, commit_batch
 from daypulse.sinks.tables import write_table
 
-BATCH_COL, RUN_COL = "_batch_id", "_run_id"
-
 
 def client_rows(lines: DataFrame, tz: str = "UTC") -> DataFrame:
     """S3 + P1 + P2 on a stream (or batch) of client JSON lines."""
@@ -112,6 +115,7 @@ class IngestTargets:
     signup: str
     quarantine: str | None = None
     client_table: str | None = None  # K9: the client rows once more, as a catalog table
+    manifest: str | None = None  # list of the batches whose targets are all written (sinks.commits)
 
     def server_routes(self) -> dict[str, str]:
         return {"payment": self.payment, "refund": self.refund,
@@ -122,6 +126,12 @@ def _quarantine(rejected: DataFrame, stream: str, batch_id: int, target: str) ->
     write_batch(rejected.select("value", "reason", F.lit(stream).alias("stream")), batch_id, target, partition_by=("stream",))
 
 
+def _listed(lines: DataFrame, stream: str, batch_id: int, targets: IngestTargets) -> None:
+    """The last write of a batch: from now on readers of listed batches see it."""
+    if targets.manifest:
+        commit_batch(lines.sparkSession, targets.manifest, stream, current_run(lines.sparkSession), batch_id)
+
+
 def land_client(lines: DataFrame, batch_id: int, targets: IngestTargets, tz: str = "UTC") -> None:
     """One micro-batch of client lines: landed, and the rest quarantined."""
     lines = lines.persist()
@@ -130,6 +140,7 @@ def land_client(lines: DataFrame, batch_id: int, targets: IngestTargets, tz: str
         if targets.quarantine:
             parsed = logs.parse_json(lines, "value", schemas.CLIENT_LOG, keep=["value"])
             _quarantine(logs.rejected_client_rows(parsed), "client", batch_id, targets.quarantine)
+        _listed(lines, "client", batch_id, targets)
     finally:
         lines.unpersist()
 
@@ -141,6 +152,7 @@ def land_server(lines: DataFrame, batch_id: int, targets: IngestTargets) -> None
         fan_out(server_rows(lines), batch_id, targets.server_routes())
         if targets.quarantine:
             _quarantine(logs.rejected_server_lines(lines), "server", batch_id, targets.quarantine)
+        _listed(lines, "server", batch_id, targets)
     finally:
         lines.unpersist()
 
