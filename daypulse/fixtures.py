@@ -83,6 +83,18 @@ def event_json(events: DataFrame) -> DataFrame:
                          .when(F.col("event_id") % 13 == 1, F.concat(F.lit("bad "), p)).otherwise(p).alias("props"))
 
 
+def event_json_wide(events: DataFrame) -> DataFrame:
+    """The JSON of an event, some with fields that no schema names: a nested
+    one, a list, and one whose type changes; the others of :func:`event_json`."""
+    eid, p = F.col("event_id"), event_json(events).select("event_id", "props")
+    head = F.expr("left(props, length(props) - 1)")
+    more = (F.when(eid % 5 == 0, F.concat(head, F.lit(', "ab": {"group": "g'), _s(eid % 3), F.lit('", "seed": '), _s(eid), F.lit("}}")))
+            .when(eid % 5 == 1, F.concat(head, F.lit(', "tags": ["t'), _s(eid % 4), F.lit('"]}')))
+            .when(eid % 5 == 2, F.concat(head, F.lit(', "ratio": '), F.when(eid % 2 == 0, F.lit("1")).otherwise(F.lit("0.5")), F.lit("}")))
+            .otherwise(F.col("props")))
+    return p.select("event_id", F.when(eid % 13 > 1, more).otherwise(F.col("props")).alias("props"))
+
+
 def server_line(events: DataFrame) -> DataFrame:
     """Server log lines: 24 characters of time text, then a JSON body."""
     etype = F.col("event_type")
@@ -236,6 +248,13 @@ FROM pages""",
     "event_json": """
 SELECT event_id, CASE event_id % 13 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN 'bad ' || props
   ELSE props END AS props
+FROM events""",
+    "event_json_wide": """
+SELECT event_id, CASE event_id % 13 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN 'bad ' || props
+  ELSE left(props, length(props) - 1) || CASE event_id % 5
+    WHEN 0 THEN ', "ab": {"group": "g' || CAST(event_id % 3 AS VARCHAR) || '", "seed": ' || CAST(event_id AS VARCHAR) || '}}'
+    WHEN 1 THEN ', "tags": ["t' || CAST(event_id % 4 AS VARCHAR) || '"]}'
+    WHEN 2 THEN ', "ratio": ' || CASE WHEN event_id % 2 = 0 THEN '1' ELSE '0.5' END || '}' ELSE '}' END END AS props
 FROM events""",
     "server_line": """
 SELECT event_id,

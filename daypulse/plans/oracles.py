@@ -188,6 +188,14 @@ ORACLES: dict[str, str] = {
 SELECT event_id, CASE WHEN json_valid(props) THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
        coalesce(NOT json_valid(props), FALSE) AS is_corrupt
 FROM event_json"""),
+    "extra_field_report": _with(("event_json_wide",), """
+keyed AS (SELECT props, unnest(json_keys(props)) AS field FROM event_json_wide WHERE json_valid(props))""", body="""
+SELECT field, COUNT(*) AS rows, CASE field WHEN 'ab' THEN 'OBJECT<group: STRING, seed: BIGINT>' WHEN 'tags' THEN 'ARRAY<STRING>'
+  WHEN 'ratio' THEN 'DECIMAL(21,1)' END AS type FROM keyed WHERE field <> 'k' GROUP BY field"""),
+    "extra_field_values": _with(("event_json_wide",), """
+good AS (SELECT event_id, CASE WHEN json_valid(props) THEN props END AS props FROM event_json_wide)""", body="""
+SELECT event_id, CAST(json_extract(props, '$.ab.seed') AS BIGINT) AS seed, json_extract_string(props, '$.tags[0]') AS tag,
+  CAST(json_extract(props, '$.ratio') AS DOUBLE) AS ratio FROM good"""),
     "server_log_parse": _with(("server_line",), _SERVER, body="SELECT * FROM srv"),
     "scan_date_filter": _with(_CL, body="""
 SELECT event_id, date, uid, event_type FROM client_log

@@ -18,7 +18,7 @@ from daypulse import schemas
 from daypulse.functions import labels
 from daypulse.functions.net import ip_to_long
 from daypulse.functions.urls import decode_url, path_param, with_url_fields
-from daypulse.operators import activity, bi, commerce, distinct_store, dyadic, funnel, geo, logs, retention, sessions
+from daypulse.operators import activity, bi, commerce, distinct_store, dyadic, extra_fields, funnel, geo, logs, retention, sessions
 from daypulse.operators.agents import UA_FIELDS, parse_user_agents
 from daypulse.operators.identity import combined_identity, funnel_identity
 from daypulse.operators.user_day import user_day, user_day_dims
@@ -90,6 +90,22 @@ def json_extract(spark, sf_dir):
     return parsed.select("event_id", "k", F.col(schemas.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
+@register
+def extra_field_report(spark, sf_dir):
+    """Fields outside the schema, kept as VARIANT, with types."""
+    rows = fx.event_json_wide(_t(spark, sf_dir, "events"))
+    return extra_fields.report(rows.select(extra_fields.extra("props", ["k"]).alias(extra_fields.EXTRA)), ["k"])
+
+
+@register
+def extra_field_values(spark, sf_dir):
+    """Such fields read from the kept objects."""
+    rows = fx.event_json_wide(_t(spark, sf_dir, "events")).withColumn(extra_fields.EXTRA, extra_fields.extra("props", ["k"]))
+    for name, path, kind in (("seed", "ab.seed", "bigint"), ("tag", "tags[0]", "string"), ("ratio", "ratio", "double")):
+        rows = extra_fields.with_field(rows, path, kind, name)
+    return rows.select("event_id", "seed", "tag", "ratio")
+
+
 @register
 def server_log_parse(spark, sf_dir):
     """S4."""

@@ -45,6 +45,17 @@ def write_table(df: DataFrame, target: str, partition_by=None, mode: str = "appe
         writer.saveAsTable(target)
 
 
+def write_bucketed(df: DataFrame, table: str, keys, buckets: int, sort_by=None) -> None:
+    """K2: a catalog table whose files are dealt by a hash of ``keys`` and
+    sorted by them. Joins and aggregates of such tables by these keys (J2, A8,
+    A10) need no shuffle: the deal is made once, when the table is written.
+    The rows are dealt before they are written, so a bucket is one file."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    sort = list(sort_by or keys)
+    (df.repartition(buckets, *keys).sortWithinPartitions(*sort).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, *keys).sortBy(*sort).saveAsTable(table))
+
+
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(target) if is_path(target) else spark.table(target)
 

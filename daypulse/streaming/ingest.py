@@ -29,13 +29,18 @@ from pyspark.sql.streaming import StreamingQuery
 from daypulse import schemas
 from daypulse.functions.labels import ROUTES
 from daypulse.operators import logs
+from daypulse.operators.extra_fields import EXTRA, extra
 from daypulse.sinks.commits import BATCH_COL, RUN_COL, commit_batch
 from daypulse.sinks.tables import write_table
 
 
-def client_rows(lines: DataFrame, tz: str = "UTC") -> DataFrame:
-    """S3 + P1 + P2 on a stream (or batch) of client JSON lines."""
-    parsed = logs.parse_json(lines, "value", schemas.CLIENT_LOG)
+def client_rows(lines: DataFrame, tz: str = "UTC", keep_extra: bool = False) -> DataFrame:
+    """S3 + P1 + P2 on a stream (or batch) of client JSON lines. With
+    ``keep_extra`` a row with fields outside the schema carries its object in
+    ``_extra`` (:mod:`daypulse.operators.extra_fields`)."""
+    if keep_extra:
+        lines = lines.withColumn(EXTRA, extra("value", schemas.CLIENT_LOG.names))
+    parsed = logs.parse_json(lines, "value", schemas.CLIENT_LOG, keep=[EXTRA] if keep_extra else ())
     return logs.land_client_rows(parsed, tz=tz).withColumnRenamed("appId", "app_id")
 
 
@@ -115,6 +120,7 @@ class IngestTargets:
     signup: str
     quarantine: str | None = None
     client_table: str | None = None  # K9: the client rows once more, as a catalog table
+    keep_extra: bool = False  # S3: client fields outside the schema are kept in _extra
     manifest: str | None = None  # list of the batches whose targets are all written (sinks.commits)
 
     def server_routes(self) -> dict[str, str]:
@@ -136,7 +142,7 @@ def land_client(lines: DataFrame, batch_id: int, targets: IngestTargets, tz: str
     """One micro-batch of client lines: landed, and the rest quarantined."""
     lines = lines.persist()
     try:
-        write_batch(client_rows(lines, tz), batch_id, targets.client, targets.client_table)
+        write_batch(client_rows(lines, tz, targets.keep_extra), batch_id, targets.client, targets.client_table)
         if targets.quarantine:
             parsed = logs.parse_json(lines, "value", schemas.CLIENT_LOG, keep=["value"])
             _quarantine(logs.rejected_client_rows(parsed), "client", batch_id, targets.quarantine)
