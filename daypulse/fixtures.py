@@ -63,6 +63,30 @@ def client_log(events: DataFrame) -> DataFrame:
     )
 
 
+#: Invented agents; {v} is a version that changes with the event.
+AGENTS = (
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_2 like Mac OS X) Version/{v}.0 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_1 like Mac OS X) Mobile/15E148 MicroMessenger/8.0 NetType/4G Language/zh_CN",
+    "Mozilla/5.0 (iPad; CPU OS {v}_0 like Mac OS X) CriOS/{v}.0 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (Linux; Android {v}; SM-G{v}0F Build/R16) Chrome/99.0 Mobile Safari/537.36",
+    "Mozilla/5.0 (Linux; U; Android {v}.1; zh-cn; MI {v} Build/OPM1) Version/4.0 MiuiBrowser/9.5 Mobile Safari/537.36 NetType/WIFI",
+    "Mozilla/5.0 (Android {v}; Mobile; rv:68.0) Gecko/68.0 Firefox/68.0",
+    "Mozilla/5.0 (Windows NT {v}.0; Win64; x64) Chrome/99.0 Safari/537.36 Edg/99.0",
+    "Mozilla/5.0 (Windows NT {v}.1; WOW64; Trident/7.0; rv:11.0) like Gecko",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X {v}_15_7) Version/14.0 Safari/605.1.15",
+    "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:{v}.0) Gecko/20100101 Firefox/{v}.0",
+    "Mozilla/5.0 (compatible; Googlebot/{v}.1; +http://example.com/bot.html)",
+    "curl/7.{v}",
+)
+
+
+def agent_log(events: DataFrame) -> DataFrame:
+    """A user agent for each event; none for one in 97."""
+    version = _s(5 + F.col("event_id") % 9)
+    pick = F.element_at(F.array(*map(F.lit, AGENTS)), (F.col("event_id") % len(AGENTS) + 1).cast("int"))
+    return events.select("event_id", F.when(F.col("event_id") % 97 > 0, F.replace(pick, F.lit("{v}"), version)).alias("u_a"))
+
+
 def user_day_sparse(orders: DataFrame) -> DataFrame:
     """Customers by order day: few days a user, many days without a first."""
     return orders.select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("uid"),
@@ -248,6 +272,10 @@ FROM pages""",
     "event_json": """
 SELECT event_id, CASE event_id % 13 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN 'bad ' || props
   ELSE props END AS props
+FROM events""",
+    "agent_log": f"""
+SELECT event_id, CASE WHEN event_id % 97 > 0 THEN replace(CASE event_id % {len(AGENTS)} {" ".join(
+    f"WHEN {n} THEN '{a}'" for n, a in enumerate(AGENTS))} END, '{{v}}', CAST(5 + event_id % 9 AS VARCHAR)) END AS u_a
 FROM events""",
     "event_json_wide": """
 SELECT event_id, CASE event_id % 13 WHEN 0 THEN left(props, length(props) - 1) WHEN 1 THEN 'bad ' || props

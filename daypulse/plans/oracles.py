@@ -238,6 +238,19 @@ SELECT event_id,
                          '/homeWorkReport/([^/]*)/', 1), 'homeWorkReport', '') AS report
 FROM client_paths WHERE clean IS NOT NULL"""),
     "ua_fields": _with(_CL, body=f"SELECT event_id, {_ua('u_a')} FROM client_log"),
+    "ua_fields_by_rules": _with(("agent_log",), """
+expected(kind, device, os, major, language, network, browser) AS (VALUES
+  (0, 'iPhone', 'iOS', true, 'unknown', 'unknown', 'Safari'), (1, 'iPhone', 'iOS', true, 'zh_CN', '4G', 'WeChat'),
+  (2, 'iPad', 'iOS', true, 'unknown', 'unknown', 'Chrome Mobile iOS'), (3, 'SM-G{v}0F', 'Android', true, 'unknown', 'unknown', 'Chrome'),
+  (4, 'MI {v}', 'Android', true, 'unknown', 'WIFI', 'MiuiBrowser'),
+  (5, 'Generic Android', 'Android', true, 'unknown', 'unknown', 'Firefox'),
+  (6, 'Unknown device', 'Windows', true, 'unknown', 'unknown', 'Edge'), (7, 'Unknown device', 'Windows', true, 'unknown', 'unknown', 'IE'),
+  (8, 'Mac', 'Mac OS X', true, 'unknown', 'unknown', 'Safari'), (9, 'Unknown device', 'Ubuntu', false, 'unknown', 'unknown', 'Firefox'),
+  (10, 'Spider', 'Other', false, 'unknown', 'unknown', 'Googlebot'), (11, 'Unknown device', 'Other', false, 'unknown', 'unknown', 'curl'),
+  (NULL, 'Unknown device', 'Other', false, 'unknown', 'unknown', 'Other')),
+numbered AS (SELECT event_id, CASE WHEN u_a IS NOT NULL THEN event_id % 12 END AS kind, CAST(5 + event_id % 9 AS VARCHAR) AS v FROM agent_log)""", body="""
+SELECT event_id, replace(device, '{v}', v) AS device, os, os || ' ' || CASE WHEN major THEN v ELSE '' END AS os_version, language, network, browser
+FROM numbered JOIN expected ON numbered.kind IS NOT DISTINCT FROM expected.kind"""),
     "ip_to_long": _with(_CL, body=f"SELECT event_id, ip, {_ip_num('ip')} AS ip_num FROM client_log"),
     # ---------------------------------------------------------------- geo
     "geo_lookup": _with(_CLG, GEO, body="SELECT ip, ip_num, location FROM geo"),

@@ -18,7 +18,7 @@ from daypulse import schemas
 from daypulse.functions import labels
 from daypulse.functions.net import ip_to_long
 from daypulse.functions.urls import decode_url, path_param, with_url_fields
-from daypulse.operators import activity, bi, commerce, distinct_store, dyadic, extra_fields, funnel, geo, logs, retention, sessions
+from daypulse.operators import activity, agent_rules, bi, commerce, distinct_store, dyadic, extra_fields, funnel, geo, logs, retention, sessions
 from daypulse.operators.agents import UA_FIELDS, parse_user_agents
 from daypulse.operators.identity import combined_identity, funnel_identity
 from daypulse.operators.user_day import user_day, user_day_dims
@@ -221,6 +221,13 @@ def ua_fields(spark, sf_dir):
     return parse_user_agents(rows, "u_a").select("event_id", *UA_FIELDS)
 
 
+@register
+def ua_fields_by_rules(spark, sf_dir):
+    """F7 by the table of rules, on a dozen kinds of agents."""
+    rows = fx.agent_log(_t(spark, sf_dir, "events"))
+    return agent_rules.parse_user_agents(rows, agent_rules.default_rules(spark)).select("event_id", *agent_rules.FIELDS)
+
+
 @register
 def ip_to_long_query(spark, sf_dir):
     """F8."""
