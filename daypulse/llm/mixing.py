@@ -32,7 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daypulse.llm.storage import materialise, row_hash
+from daypulse.llm.storage import free_name, materialise, row_hash
 
 BITS = 12
 BLOCKS = 1 << BITS
@@ -159,12 +159,16 @@ def mix(docs: DataFrame, budget: int | None = None, entropy: float = 0.95, max_r
     """The rows of ``docs`` as drawn: one row for each epoch that takes it,
     with mix_epoch (from 0), mix_block (the block's place in the epoch) and
     mix_key (the place in the epoch's order). ``budget``: tokens in all, by
-    default as many as the corpus has."""
+    default as many as the corpus has. A column of ``docs`` keeps its name and
+    values; where it has one of these names, the operator's own takes the first
+    free one of mix_epoch_2, mix_epoch_3, ..."""
     source_key = F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit("null"))
-    keyed = docs.withColumn("__row", row_hash(docs))
-    block, rest = _keys(keyed, source, id_col, seed)
-    keyed = keyed.withColumns({"__source_key": source_key, "__block": block, "__rest": rest})
-    rows = materialise(keyed.select(F.col("__source_key").alias("source_key"), n_tokens(F.col(f"`{text}`")).alias("tokens"),
+    names = {n: free_name(docs, n) for n in ("mix_epoch", "mix_block", "mix_key")}
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), source_key.alias("__source_key"),
+                        F.col(f"`{id_col}`").alias(id_col), row_hash(docs).alias("__row"), n_tokens(F.col(f"`{text}`")).alias("__tokens"))
+    block, rest = _keys(whole, source, id_col, seed)
+    keyed = whole.withColumns({"__block": block, "__rest": rest})
+    rows = materialise(keyed.select(F.col("__source_key").alias("source_key"), F.col("__tokens").alias("tokens"),
                                     F.col("__block").alias("block"), F.col("__rest").alias("rest")), "mix-rows")
     made = plan_mix(rows, budget, entropy, max_repetition, seed)
     if made is None:
@@ -179,4 +183,4 @@ def mix(docs: DataFrame, budget: int | None = None, entropy: float = 0.95, max_r
         F.array().cast("array<int>"))))
     out = out.withColumn("mix_key", order_key(F.col("__source_key"), F.col("__block"), F.col("__rest"), F.col("mix_epoch"), seed))
     out = out.withColumn("mix_block", F.shiftright("mix_key", BITS * (LEVELS - 1)).cast("int"))
-    return out.drop("__row", "__source_key", "__block", "__rest", "__epochs", "__cut")
+    return out.select("__doc.*", *[F.col(n).alias(own) for n, own in names.items()])

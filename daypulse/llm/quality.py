@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daypulse.llm.storage import materialise, share_code
+from daypulse.llm.storage import free_name, materialise, share_code
 
 #: lower, upper, digit, blank, line end, mark, other byte, control
 _CLASS = np.array([3 if c in (32, 9) else 4 if c in (10, 13) else 7 if c < 32 or c == 127 else 2 if 48 <= c <= 57 else
@@ -193,8 +193,8 @@ def _features(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _views(docs: DataFrame, keys: list) -> DataFrame:
-    return docs.select(*keys, F.col("text").cast("string").alias("__text"), F.col("source").cast("string").alias("__source"),
-                       F.col("lang").cast("string").alias("__lang"), F.col("n_chars").cast("long").alias("__chars"))
+    return docs.select(*keys, *[F.col(c).cast("long" if c == "n_chars" else "string").alias(free_name(docs, f"__{c}"))
+                                for c in ("text", "source", "lang", "n_chars")])
 
 
 def _one_each(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -24,7 +24,8 @@ a group of copies makes as many links as members, not as many as pairs.
 Defined results: a null or empty text, or one of white space only, has
 fingerprint zero and links like any other; repeated rows keep one output row
 each; null ids take part and the class id is the smallest non-null id (null if
-there is none); an empty table gives an empty table; other columns are ignored.
+there is none); columns of any name are kept as they are; a text of any length
+is taken whole, at some 60 bytes a word; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypulse.llm.components import components
-from daypulse.llm.storage import materialise, row_hash, share_code
+from daypulse.llm.storage import free_name, materialise, row_hash, share_code
 
 BITS = 64
 #: Distinct fingerprints that are sampled to measure which bits are correlated.
@@ -237,7 +238,7 @@ def _links(max_bits: int):
         change = np.flatnonzero(np.diff(key)) + 1
         lo, hi = np.concatenate([[0], change]), np.concatenate([change, [len(key)]])
         mid = hi - np.add.reduceat(probe, lo)
-        some = (mid > lo) & (hi > mid) & (hi - lo > 2)  # a fingerprint always meets itself
+        some = (mid > lo) & (hi > mid) & ((hi - lo > 2) | (fp[lo] != fp[hi - 1]))  # not one that meets itself alone
         for a, b in _verified(fp, lo[some], mid[some], hi[some], max_bits):
             other = a != b
             if other.any():
@@ -384,17 +385,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **o
     """One row of each class stays, whole: the one with the smallest id (ids
     before null; then the smallest row hash). Of rows that are equal in all
     columns one stays."""
-    keyed = docs.withColumn("__row", row_hash(docs))
-    rows = materialise(simhash_classes(keyed.withColumn("__id", F.col(f"`{id_col}`")), ["__id", "__row"], "__id", text,
-                                       **options), "dedup-rows")
+    own, ident = free_name(docs, "__row"), free_name(docs, "__id")
+    keyed = docs.withColumn(own, row_hash(docs))
+    rows = materialise(simhash_classes(keyed.withColumn(ident, F.col(f"`{id_col}`")), [ident, own], ident, text, **options)
+                       .select(F.col(ident).alias("__id"), F.col(own).alias("__row"), "root"), "dedup-rows")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__row")).alias("s"))
     keep = materialise(rows.groupBy("__id", "__row").agg(F.count(F.lit(1)).alias("__n")).join(
         first.select(F.col("s.__id").alias("k_id"), F.col("s.__row").alias("k_row")),
         F.col("__id").eqNullSafe(F.col("k_id")) & (F.col("__row") == F.col("k_row")), "left_semi"), "dedup-keep")
 
     def kept(which):
-        return keyed.join(which, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (keyed["__row"] == which["__row"]),
-                          "left_semi").drop("__row")
+        return keyed.join(which, keyed[f"`{id_col}`"].eqNullSafe(which["__id"]) & (keyed[own] == which["__row"]), "left_semi").drop(own)
 
     out = kept(keep.where("__n = 1"))
     if not keep.where("__n > 1").isEmpty():

@@ -51,6 +51,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or the first of name_2, name_3, ... that no column of ``df``
+    has (whatever the case)."""
+    taken, n, found = {c.lower() for c in df.columns}, 1, name
+    while found.lower() in taken:
+        n += 1
+        found = f"{name}_{n}"
+    return found
+
+
 def row_hash(df: DataFrame, seed: int = 0):
     """64 bits over all columns of a row (nulls included); tells rows with
     the same id apart. Columns without an order or hash (maps) count as text."""

@@ -236,7 +236,7 @@ def test_filters_keep_whole_rows_and_clashing_columns(spark):
     for name in ("__text", "t", "m", "view", "label", "h", "quality", "rejected", "lang_pred", "score", "n", "y"):
         extra = extra.withColumn(name, F.concat(F.lit("own "), F.col("doc_id").cast("string")))
     model, speech = quality.fit(docs, labels, rounds=1), language_id.fit(docs)
-    for kept, scored in ((quality.keep_good(extra.drop("__text"), model), quality.score(docs, model, ["doc_id"])),
+    for kept, scored in ((quality.keep_good(extra, model), quality.score(docs, model, ["doc_id"])),
                          (language_id.keep_known(extra, speech), language_id.predict(docs, speech, ["doc_id"]))):
         want = {r.doc_id for r in scored.collect() if not r.rejected}
         rows = kept.collect()
@@ -326,6 +326,25 @@ def test_mixing_uneven_and_odd_rows(spark):
     assert mixing.mix(docs.where("text IS NULL")).count() == docs.where("text IS NULL").count()
 
 
+def test_columns_of_any_name_stay(spark):
+    from daypulse.llm import simhash
+
+    docs = odd_docs(spark)
+    for name in ("mix_key", "MIX_EPOCH", "mix_block", "__row", "__id", "__doc", "__rest", "__tokens", "__source_key", "__n", "root"):
+        docs = docs.withColumn(name, F.concat(F.lit("own "), F.col("doc_id").cast("string")))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, "mix_epoch_2", "mix_block_2", "mix_key_2"]
+    plain = Counter((r.doc_id, r.mix_epoch) for r in mixing.mix(odd_docs(spark)).collect())
+    assert sum(plain.values()) and Counter(r.doc_id for r in mixed.collect()).keys() == Counter(i for i, _ in plain).keys()
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(
+        (r.doc_id for r in simhash.deduplicate(odd_docs(spark)).collect()), key=repr)
+    for r in [*mixed.collect(), *kept.collect()]:
+        want = None if r.doc_id is None else f"own {r.doc_id}"
+        assert r["mix_key"] == r["__row"] == r["__id"] == r["root"] == want
+
+
 def test_blocks_are_permuted(spark):
     frame = spark.range(4096).select(F.lit("=s").alias("s"), F.col("id").alias("b"))
     for e in (0, 1):

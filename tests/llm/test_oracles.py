@@ -1,4 +1,4 @@
-"""Ops 3, 4 and 7 against their DuckDB SQL on the tables and on odd rows."""
+"""Ops 3, 4, 7, 12 and 13 against their DuckDB SQL on the tables and on odd rows."""
 
 import duckdb
 import pytest
@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def oracle(name, **tables):
     con = duckdb.connect()
-    for table in ("pages", "documents", "embeddings"):
+    for table in ("pages", "documents", "embeddings", "conversations"):
         con.execute(f"CREATE TABLE {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     for table, rows in tables.items():
         con.execute(f"DELETE FROM {table}")

@@ -134,3 +134,51 @@ def test_components_chain_and_hub(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 201)} | {5: 5} | {i: 5 for i in range(1000, 1300)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_probe_that_meets_one_foreign_fingerprint_links():
+    """A partition that the indexed fingerprint does not probe itself
+    (threshold -1) gives a group of two rows: one indexed, one probing."""
+    import numpy as np
+    import pyarrow as pa
+
+    from daypulse.llm import simhash
+
+    def found(rows):
+        key, probe, fp = zip(*rows)
+        batch = pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(probe, pa.int32()), pa.array(fp, pa.int64())],
+                                           names=["key", "probe", "fp"])
+        return [tuple(p) for b in simhash._links(2)(iter([batch])) for p in zip(*(np.asarray(c).tolist() for c in b.columns))]
+
+    assert found([(1, 0, 8), (1, 1, 9)]) in ([(8, 9)], [(9, 8)])
+    assert found([(1, 0, 8), (1, 1, 8)]) == []  # itself alone
+    assert found([(1, 0, 8), (1, 1, 15)]) == []  # three bits apart
+    assert len(found([(1, 0, 8), (1, 1, 8), (1, 1, 9), (2, 0, 1), (2, 1, 3)])) == 2
+
+
+def test_links_hold_for_three_partitions_of_skewed_bits(spark):
+    """Most fingerprints share their leading bits, so thresholds are uneven."""
+    import random
+
+    from daypulse.llm import simhash
+
+    r = random.Random(9)
+    fps = {r.getrandbits(24) | (r.getrandbits(40) << 24 if k % 50 == 0 else 0) for k in range(1_500)}
+    fps |= {f ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for f in sorted(fps)[::3]}
+    signed = sorted(f - 2**64 if f >= 2**63 else f for f in fps)
+    links = simhash.linked(spark.createDataFrame([(f,) for f in signed], "fp long"), max_bits=2, parts=3).collect()
+    root = {f: f for f in signed}
+
+    def top(x, root):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:  # a spanning forest of what the tasks found
+        root[max(top(a, root), top(b, root))] = min(top(a, root), top(b, root))
+    want = {f: f for f in signed}
+    for i, a in enumerate(signed):
+        for b in signed[:i]:
+            if ((a ^ b) % 2**64).bit_count() <= 2:
+                want[max(top(a, want), top(b, want))] = min(top(a, want), top(b, want))
+    assert {f: top(f, root) for f in signed} == {f: top(f, want) for f in signed}
