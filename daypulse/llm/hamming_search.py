@@ -11,7 +11,9 @@ whole segment. Nothing is capped: a query without near neighbours runs on.
 
 Equal codes are one entry of the index, with their k smallest ids kept beside
 it, so a code that many rows share is probed once; equal query codes are
-searched once.
+searched once. A pair of codes passes in the first segment and round in which it
+meets, and what moves is at most k of a query from each task; a segment value
+that many codes share is compared in the join, which AQE splits.
 
 Defined results: distance ties go to the smaller id; a row is its own neighbour
 at distance 0 if it is among the rows searched; rows with a null id or a null
@@ -70,6 +72,18 @@ def _probes(queries: DataFrame, parts: list[tuple[int, int]], radius: int) -> Da
         F.col("p.seg").alias("seg"), F.col("p.value").alias("value"), "qcode", "bound")
 
 
+def _first_met(parts: list[tuple[int, int]], radius: int) -> Column:
+    """Whether a pair meets in this segment for the first time: no segment is
+    nearer than ``radius`` (it met in an earlier round), none before this one as
+    near. So each pair passes once, no shuffle has to take out repeats, and a
+    task keeps its k nearest of a query before anything moves."""
+    met = F.lit(True)
+    for i, (o, w) in enumerate(parts):
+        d = F.bit_count(_value(F.col("qcode").bitwiseXOR(F.col("code")), o, w))
+        met = met & F.when(F.col("p.seg") > i, d > radius).otherwise(d >= radius)
+    return met
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The k nearest codes of each query; ``upto`` counts rows up to there."""
     nearest = Window.partitionBy("qcode").orderBy("d", "low")
@@ -98,9 +112,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id",
         # the probes are many more than the open queries that they are made from: not for a broadcast
         hits = probes.join(index.alias("x").hint("merge"), (F.col("p.seg") == F.col("x.seg")) & (F.col("p.value") == F.col("x.value"))
                            & (near <= F.col("bound")))
-        hits = hits.select("qcode", "code", near.alias("d"), "low", "n").distinct()
+        hits = hits.where(_first_met(parts, radius)).select("qcode", "code", near.alias("d"), "low", "n")
         if best is not None:
-            hits = hits.unionByName(best.select("qcode", "code", "d", "low", "n")).distinct()
+            hits = hits.unionByName(best.select("qcode", "code", "d", "low", "n"))
         best = materialise(_best(hits, k), "nearest")
         covered = len(parts) * (radius + 1) - 1 if radius < min(w for _, w in parts) else BITS
         kth = materialise(open_.select("qcode").join(best.where(F.col("upto") >= k).groupBy("qcode").agg(

@@ -19,7 +19,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 def share_code(spark: SparkSession) -> None:
     """Let Python workers import this package also where only the driver has
-    its folder on the path (a session started elsewhere)."""
+    its folder on the path (a session started elsewhere on machines that see
+    that folder). On a cluster the package must be installed on the executors,
+    or shipped with ``--py-files`` as a zip of this folder's ``daypulse``."""
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if ROOT not in have.split(os.pathsep):

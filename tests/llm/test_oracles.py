@@ -133,3 +133,32 @@ def test_license_notices_at_every_width(spark):
     names, want = oracle("op7_license_scan", documents=[(n, t, None, None, None) for n, (_, t) in enumerate(rows)])
     sql = {w[names.index("doc_id")]: w[names.index("labels")] for w in want}
     assert {i: got[i] for i, _ in rows} == {i: sql[n] for n, (i, _) in enumerate(rows)}
+
+
+def test_hamming_dense_cluster_moves_few_rows(spark, monkeypatch):
+    """A third of all codes share segment values: each pair passes once, and
+    the hits that are kept are at most k a query."""
+    import random
+
+    r = random.Random(6)
+    base = r.getrandbits(64)
+    codes = [base ^ r.getrandbits(20) for _ in range(400)] + [r.getrandbits(64) for _ in range(800)]
+    codes = [c - 2**64 if c >= 2**63 else c for c in codes]
+    frame = spark.createDataFrame(list(enumerate(codes)), "id long, code long")
+    seen, best = [], hamming_search._best
+
+    def counted(found, k):
+        seen.append((found.count(), found.select("qcode", "code").distinct().count()))
+        out = best(found, k)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan  # before the shuffle
+        return out
+
+    monkeypatch.setattr(hamming_search, "_best", counted)
+    got = rows_of(hamming_search.top_k(frame, frame.where("id % 50 = 0"), k=10))
+    assert all(n == distinct for n, distinct in seen)
+    want = []
+    for q in range(0, len(codes), 50):
+        near = sorted(((codes[q] ^ c) % 2**64).bit_count() * 10_000 + i for i, c in enumerate(codes))[:10]
+        want += [(q, rank + 1, x % 10_000, x // 10_000) for rank, x in enumerate(near)]
+    assert got == sorted(want, key=repr)
