@@ -407,6 +407,33 @@ def test_vectors_clusters_and_odd_rows(spark, monkeypatch, chunk):
     assert vector_dedup.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_vectors_in_a_dense_cell(spark):
+    """Thousands of like vectors beside scattered ones: every link counts."""
+    r = np.random.default_rng(8)
+    centre = r.normal(size=16)
+    x = np.vstack([centre + r.normal(scale=s, size=(n, 16)) for s, n in ((0.2, 1_600), (0.35, 900))]
+                  + [r.normal(size=(1_500, 16))]).astype(np.float32)
+    ids = r.permutation(len(x))
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    close = unit @ unit.T
+    near = close >= 0.95
+    sure = np.abs(close - 0.95).min(1) > 1e-12  # rows without a cosine at the very limit
+    np.fill_diagonal(near, False)
+    root, left = np.full(len(x), -1), set(range(len(x)))
+    while left:
+        group, edge = set(), {left.pop()}
+        while edge:
+            group |= edge
+            edge = set(np.flatnonzero(near[list(edge)].any(0)).tolist()) - group
+        left -= group
+        root[list(group)] = min(ids[list(group)])
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    got = {g.vec_id: g for g in vector_dedup.near_duplicates(frame).collect()}
+    assert near.sum() > 500_000 and sure.all()
+    for i, vec in enumerate(ids.tolist()):
+        assert (got[vec].n_links, got[vec].component_id, got[vec].kept) == (near[i].sum(), root[i], vec == root[i])
+
+
 # --- the pipeline ---------------------------------------------------------
 
 def test_pipeline_stages(spark):
