@@ -27,10 +27,12 @@ KINDS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
 
 def summarise(plan: str) -> tuple[Counter, list[str]]:
     nodes = Counter()
-    final = plan.split("== Initial Plan ==")[0]
-    for m in re.finditer(r"^\(\d+\) (\w[\w ]*?)(?: \[codegen id : \d+\])?\s*$", final, re.M):
-        nodes[m.group(1).strip()] += 1
-    pushed = sorted({line.split(":", 1)[1].strip() for line in final.splitlines()
+    tree = plan.split("== Final Plan ==")[-1].split("== Initial Plan ==")[0] if "== Final Plan ==" in plan else plan
+    for line in tree.splitlines():  # the tree of the final plan: one line for each node that ran
+        m = re.match(r"^[\s:+|-]*(?:\* )?([A-Z][\w ]*?)\s*\(\d+\)\s*$", line)
+        if m:
+            nodes[m.group(1).strip()] += 1
+    pushed = sorted({line.split(":", 1)[1].strip() for line in plan.splitlines()
                      if line.startswith("PushedFilters") and "[]" not in line})
     return nodes, pushed
 
