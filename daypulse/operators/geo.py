@@ -15,11 +15,17 @@ nested-loop join. Two forms are provided.
 Both work on *distinct* IPs first (a hot IP costs one lookup) and join the
 answer back. Overlapping ranges give one answer: the range with the
 greatest start (then the narrowest). No match: ``"unknown"``.
+
+* ``disjoint`` (for facts): the ranges are cut at each other's ends first, so
+  that every address lies in one piece at most (:func:`disjoint_ranges`, work on
+  the dimension alone). The facts then join the pieces themselves: no distinct
+  IPs, no second read of the rows, no join back, and no shuffle of the facts at
+  all where AQE finds the pieces small enough to broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daypulse.functions.net import ip_to_long
@@ -85,6 +91,29 @@ def locate_numbers(numbers: DataFrame, ranges: DataFrame, strategy: str = "bucke
     return _best(_candidates(keys, ranges, strategy, bucket_bits), ["_ipn"])
 
 
+def disjoint_ranges(ranges: DataFrame, bucket_bits: int = 16) -> DataFrame:
+    """Pieces (_bucket, _lo, _hi, _loc) that do not overlap: within each block
+    the ranges' starts, the addresses behind their ends and the block's start
+    are the only places where the answer can change; each is looked up once."""
+    valid = ranges.filter(valid_range())
+    block = F.explode(F.sequence(F.shiftright("start_ip", bucket_bits), F.shiftright("end_ip", bucket_bits)))
+    first = valid.select(block.alias("_bucket")).select(F.call_function("shiftleft", F.col("_bucket"), F.lit(bucket_bits)).alias("_ipn"))
+    points = first.unionByName(valid.select(F.col("start_ip").alias("_ipn"))).unionByName(
+        valid.select((F.col("end_ip") + 1).alias("_ipn")))
+    named = locate_numbers(points, ranges, "bucketed", bucket_bits).withColumn("_bucket", F.shiftright("_ipn", bucket_bits))
+    after = F.lead("_ipn").over(Window.partitionBy("_bucket").orderBy("_ipn"))  # the points of one block
+    last = F.call_function("shiftleft", F.col("_bucket") + 1, F.lit(bucket_bits))
+    pieces = named.select("_bucket", F.col("_ipn").alias("_lo"), (F.coalesce(after, last) - 1).alias("_hi"), F.col("_location").alias("_loc"))
+    return pieces.where(F.col("_loc") != UNKNOWN)
+
+
+def _in_pieces(facts: DataFrame, ranges: DataFrame, ip_col: str, out_col: str, bucket_bits: int) -> DataFrame:
+    keyed = facts.withColumn("_ipn", ip_to_long(ip_col)).withColumn("_b", F.shiftright("_ipn", bucket_bits))
+    pieces = disjoint_ranges(ranges, bucket_bits)
+    held = (F.col("_b") == F.col("_bucket")) & (F.col("_ipn") >= F.col("_lo")) & (F.col("_ipn") <= F.col("_hi"))
+    return keyed.join(pieces, held, "left").withColumn(out_col, F.coalesce("_loc", F.lit(UNKNOWN))).select(*facts.columns, out_col)
+
+
 def with_location(facts: DataFrame, ranges: DataFrame, ip_col: str = "ip",
                   out_col: str = "loc", strategy: str = "bucketed",
                   bucket_bits: int = 16, keys: DataFrame | None = None) -> DataFrame:
@@ -95,7 +124,11 @@ def with_location(facts: DataFrame, ranges: DataFrame, ip_col: str = "ip",
     hashes and sorts a long instead of a string and needs no null-safe
     equality. It is built from the distinct numbers of ``keys[ip_col]``
     (default: the facts); passing a cheap superset — e.g. the raw rows the
-    facts were aggregated from — avoids computing the facts twice."""
+    facts were aggregated from — avoids computing the facts twice. With
+    ``strategy="disjoint"`` the facts join the pieces directly, ``keys`` is not
+    needed."""
+    if strategy == "disjoint":
+        return _in_pieces(facts, ranges, ip_col, out_col, bucket_bits)
     source = facts if keys is None else keys
     located = locate_numbers(source.select(ip_to_long(ip_col).alias("_ipn")), ranges,
                              strategy, bucket_bits)

@@ -38,12 +38,12 @@ def user_day(client_rows: DataFrame, order_cols=("t",)) -> DataFrame:
 
 
 def user_day_dims(user_days: DataFrame, geo_ranges: DataFrame,
-                  geo_strategy: str = "bucketed", keys: DataFrame | None = None) -> DataFrame:
+                  geo_strategy: str = "disjoint", keys: DataFrame | None = None) -> DataFrame:
     """User-day rows with location and user-agent dimensions (A2 input).
 
-    IPs are looked up once per distinct value, taken from ``keys`` (column
-    ``ip``; default: ``user_days``). When the user-days are not materialised,
-    pass the raw rows they came from so the user-day aggregation runs once.
+    The location comes from ranges cut into disjoint pieces, so the user-days
+    are read once and keep their order of magnitude. The other strategies look
+    up distinct IPs, taken from ``keys`` (column ``ip``; default: ``user_days``).
     User agents are parsed in place."""
     located = with_location(user_days, geo_ranges, "ip", "loc", strategy=geo_strategy, keys=keys)
     return parse_user_agents(located, "u_a")

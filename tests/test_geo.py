@@ -53,6 +53,25 @@ def test_broadcast_equals_bucketed_random(spark):
         assert a[ip] == (max(hits)[2] if hits else "unknown")
 
 
+def test_disjoint_pieces_equal_the_lookups(spark):
+    rnd = random.Random(5)
+    for bits in (4, 16):
+        ranges = [(0, 2**12, "W", "all"), (7, 7, "one", "x"), (7, 7, "one", "y"), (5, 2, "bad", ""), (None, 3, "bad", "")]
+        for _ in range(30):
+            start = rnd.randrange(0, 2**12)
+            ranges.append((start, start + rnd.randrange(0, 300), f"c{rnd.randrange(5)}", f"l{rnd.randrange(9)}"))
+        r = spark.createDataFrame(ranges, RANGES)
+        ips = [(n, _ip(n)) for n in range(0, 2**12 + 320, 3)] + [(-1, "junk"), (-2, None), (-3, _ip(2**32 - 1)), (-4, _ip(7))] * 2
+        facts = spark.createDataFrame(ips, "id long, ip string")
+        a = geo.with_location(facts, r, "ip", "loc", strategy="bucketed", bucket_bits=bits)
+        b = geo.with_location(facts, r, "ip", "loc", strategy="disjoint", bucket_bits=bits)
+        assert a.columns == b.columns and sorted(a.collect(), key=repr) == sorted(b.collect(), key=repr)
+        pieces = sorted((p._lo, p._hi) for p in geo.disjoint_ranges(r, bits).collect())
+        assert all(lo <= hi for lo, hi in pieces) and all(x[1] < y[0] for x, y in zip(pieces, pieces[1:]))
+    none = spark.createDataFrame([], RANGES)
+    assert {x.loc for x in geo.with_location(facts, none, "ip", "loc", strategy="disjoint").collect()} == {"unknown"}
+
+
 def test_ip_number_matches(spark):
     df = spark.createDataFrame([("10.0.0.1",)], "ip string")
     assert df.select(ip_to_long("ip")).collect()[0][0] == 167772161
