@@ -3,7 +3,6 @@
 import ipaddress
 import random
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -133,5 +132,3 @@ def test_plan_joins_by_equality(spark):
     plan = dyadic.locate(ips, some)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
-
-__all__ = ["pytest"]

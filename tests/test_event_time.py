@@ -6,7 +6,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from daypulse.operators import commerce, sessions
 from daypulse.streaming import dedup, joins
@@ -238,5 +237,3 @@ def test_unknown_state_is_refused(spark, tmp_dir):
     with pytest.raises(ValueError):
         start_session_job(spark.createDataFrame([], CLIENT), f"{tmp_dir}/l", f"{tmp_dir}/c", state="none")
 
-
-__all__ = ["F"]
