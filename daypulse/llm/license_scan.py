@@ -92,9 +92,13 @@ def base(rows: DataFrame, phrases=PHRASES) -> DataFrame:
 
 
 def _together(text: Column, template: Column, need: Column) -> Column:
-    """Whether a stretch of a text's words holds enough of a template's words."""
-    return F.exists(F.sequence(F.lit(1), F.size(text)), lambda i: F.size(
-        F.array_intersect(F.slice(text, i, SPREAD * F.size(template)), template)) >= need)
+    """Whether a stretch of a text's words that begins with a template's word
+    holds enough of them."""
+    def held(found: Column) -> Column:  # the words, worked out once
+        return F.exists(F.sequence(F.lit(1), F.size(found)), lambda i: F.array_contains(template, F.get(found, i - 1)) & (
+            F.size(F.array_intersect(F.slice(found, i, SPREAD * F.size(template)), template)) >= need))
+
+    return F.get(F.transform(F.array(text), held), F.lit(0))
 
 
 def _rarest_first(rows: DataFrame, vocabulary: list[str]) -> list[str]:
