@@ -18,8 +18,9 @@ each prefix word of a template, so it is broadcast.
 
 Defined results: a null or empty text has no words, no labels and score 0; a
 phrase that begins inside an earlier match of itself counts as a place of its
-own; repeated rows keep a row each; an empty table gives an empty table; other
-columns are ignored.
+own; a text of any length is taken whole; of equal words the one first in the
+alphabet counts as rarer; repeated rows keep a row each; an empty table gives an
+empty table; other columns are ignored.
 """
 
 from __future__ import annotations

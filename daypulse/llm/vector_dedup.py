@@ -17,8 +17,8 @@ the pairs.
 Defined results: vectors that are null, empty or zero, or hold null or
 non-finite components, have no links and are kept; vectors of different length
 never link; repeated rows link with one another; rows with a null id take part
-and the class id is the smallest non-null id; an empty table gives an empty
-table; other columns are ignored.
+and the class id is the smallest non-null id; a cosine equal to the limit
+links; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
