@@ -82,6 +82,31 @@ def test_interval_equals_explode_and_brute_force(spark, raw):
     assert interval == explode == brute_force(rows)
 
 
+def test_explode_with_repeats_and_nulls(spark):
+    rnd = random.Random(11)
+    rows = [(_day(rnd.randrange(80)), rnd.choice([None, "", "u1", "u2", "u3"]), rnd.choice([None, "s1", "s2", "s3", "u1"]),
+             rnd.choice([None, 1, 2]), rnd.choice([None, True, False])) for _ in range(90)]
+    rows += rows[:30]
+    got = activity.active_users_explode(spark.createDataFrame(rows, SCHEMA), DIMS)
+    key = lambda r: [(v is not None, v) for v in r]
+    assert sorted(map(tuple, got.collect()), key=key) == [*_sorted_brute_force(rows, key)]
+
+
+def _sorted_brute_force(rows, key):
+    found = []
+    for app, wechat in {r[3:] for r in rows}:
+        own = [(*r[:3], 0, False) for r in rows if r[3:] == (app, wechat)]
+        found += [(r[0], app, wechat, *r[3:]) for r in brute_force(own)]
+    return sorted(found, key=key)
+
+
+def test_explode_counts_days_without_a_date_once(spark):
+    rows = [(None, "u1", "s1", 1, False), (None, "u1", "s2", 1, False), (None, "u2", "s2", 1, False),
+            (None, None, "s3", 2, True), (_day(0), "u1", "s1", 1, False)]
+    got = activity.active_users_explode(spark.createDataFrame(rows, SCHEMA), DIMS).where("date is null")
+    assert sorted(map(tuple, got.collect())) == [(None, 1, False, 2, 2, 2, 2), (None, 2, True, 1, 0, 0, 0)]
+
+
 def test_trailing_active_x7(spark):
     df = spark.createDataFrame([("a", _day(0)), ("b", _day(2)), ("a", _day(12))],
                                "combined_id string, date date")

@@ -47,6 +47,13 @@ def _nodes(plan):
     return out
 
 
+def test_explode_form_copies_counts_not_users(spark):
+    nodes = _nodes(_plan(spark, "active_users_basics"))
+    copied = max(n for n, op, body in nodes if op == "Generate" and "sequence(" in body)
+    later = [body for n, op, body in nodes if op == "Exchange" and n > copied]
+    assert later and all("uid" not in body for body in later)
+
+
 def test_ordered_picks_combine_before_the_shuffle(spark):
     for name in ("user_day", "latest_per_key", "dedup_payments", "revenue_by_channel"):
         nodes = _nodes(_plan(spark, name))
