@@ -49,7 +49,7 @@ def _nodes(plan):
 
 def test_explode_form_copies_counts_not_users(spark):
     nodes = _nodes(_plan(spark, "active_users_basics"))
-    copied = max(n for n, op, body in nodes if op == "Generate" and "sequence(" in body)
+    copied = max(n for n, op, body in nodes if op == "Generate" and "_off" in body)
     later = [body for n, op, body in nodes if op == "Exchange" and n > copied]
     assert later and all("uid" not in body for body in later)
 
